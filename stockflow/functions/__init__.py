@@ -10,7 +10,7 @@ from stockflow.functions.casts import (
     safe_ts,
 )
 from stockflow.functions.dates import days_before, days_between, local_date, utc_date
-from stockflow.functions.json import json_list, parse_payload, scalar_field
+from stockflow.functions.json import json_list, parse_payload
 from stockflow.functions.text import extract_first, has_tag, trim_blanks
 
 __all__ = [
@@ -28,7 +28,6 @@ __all__ = [
     "safe_long",
     "safe_money",
     "safe_ts",
-    "scalar_field",
     "trim_blanks",
     "utc_date",
 ]

@@ -50,8 +50,9 @@ def pair_candidates(
     Both sides need ``on``, ``location_id`` and ``location_name``. A sender is
     repeated once per lane it may use (a handful, fixed by the settings) and joined
     on item *and* lane, so pairs on closed lanes are never formed; ``rules`` are
-    conditions of the join. Both sides are partitioned by the item alone: the
-    windows per item that follow need no further shuffle.
+    conditions of the join. Both sides are partitioned by the item alone, which the
+    session settings let the join make do with: the windows per item that follow
+    need no further shuffle.
     """
     outgoing = (
         senders.withColumn(_LANE, F.explode(_lanes_of(lane_group(F.col("location_name"), lanes), lanes)))

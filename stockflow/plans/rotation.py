@@ -395,8 +395,9 @@ def style_consolidation_candidates(t: Tables, cfg: RetailConfig) -> DataFrame:
             "location_name",
             "available_quantity",
         )
-        .join(can_send, "location_id")
+        # base is partitioned by product already
         .join(last_unit, ["product_id", "location_id"])
+        .join(can_send, "location_id")
         .withColumn("denim_or_classics", _denim_or_classics("product_type", "is_classics"))
     )
     destinations = style_stock.where(F.col("style_available_quantity") > 1).join(

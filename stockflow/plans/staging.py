@@ -84,7 +84,7 @@ def product_variants(t: Tables, cfg: RetailConfig) -> DataFrame:
         "product_id",
         "product_key",
         "product_title",
-        F.col("product_vendor").alias("vendor"),
+        "product_vendor AS vendor",
         "product_type",
         "product_status",
         *ENVELOPE,

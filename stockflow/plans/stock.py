@@ -128,9 +128,10 @@ def variant_location_demand(t: Tables, cfg: RetailConfig) -> DataFrame:
         return F.coalesce(F.col(name), F.lit(0))
 
     joined = (
+        # by variant first: the next join then finds its rows already partitioned
         snapshot.join(names, "location_id", "left")
-        .join(sales, ["variant_id", "sales_location_name"], "left")
         .join(warehouse, "variant_id", "left")
+        .join(sales, ["variant_id", "sales_location_name"], "left")
         .join(style, ["product_id", "location_name"], "left")
     )
     today = utc_date(instant(cfg.as_of))

@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when a later step must then shuffle again
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a table partitioned by some of the join keys need not be shuffled again
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 _own_roots: dict[str, str] = {}
@@ -36,7 +38,12 @@ def build_session(
 ) -> SparkSession:
     """A session for tests, benchmarks and single machines."""
     builder = SparkSession.builder.master(master).appName(app)
-    for key, value in {"spark.ui.enabled": "false", **RUNTIME_SETTINGS, **(extra or {})}.items():
+    start = {
+        "spark.ui.enabled": "false",
+        # recording the place of every Column call slows building a plan down
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+    for key, value in {**start, **RUNTIME_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

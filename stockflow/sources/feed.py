@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.config import INTERNAL_LOCATIONS, SALES_LOCATION_NAMES, RetailConfig
+from stockflow.operators.rank import global_rank
 from stockflow.sources.envelope import normalise_phones, to_envelope
 
 SOURCE = "shop"
@@ -184,6 +185,9 @@ def inventory_documents(spark: SparkSession, folder: str) -> DataFrame:
     p, v, at = _col("p_partkey"), _col("v"), _col("at")
     levels = (
         flat_table(spark, folder, "part")
+        .select("p_partkey")
+        # every row becomes some thirty documents: spread the keys before, not after
+        .repartition("p_partkey")
         .select("p_partkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(len(LOCATION_NAMES) - 1))).alias("at"))
         .withColumn("version", _versions((p % 10 == 0) & (at % 3 == 0)))
@@ -442,3 +446,35 @@ RAW_TABLES = {
     "raw_customers": raw_customers,
     "raw_orders": raw_orders,
 }
+
+
+# -- landed pages ------------------------------------------------------------------
+
+# entity -> (documents, array field of its pages)
+PAGED_DOCUMENTS = {
+    "product": (product_documents, "products"),
+    "location": (location_documents, "locations"),
+    "order": (order_documents, "orders"),
+    "customer": (customer_documents, "customers"),
+    "inventory_level": (inventory_documents, "inventory_levels"),
+}
+
+
+def newest_only(documents: DataFrame) -> DataFrame:
+    return documents.where(_col("version") == 1)
+
+
+def landed_pages(documents: DataFrame, field: str, page_size: int) -> DataFrame:
+    """Documents in order of their id, ``page_size`` to a page, as response bodies.
+
+    Pages are cut by position, so none is larger, whatever the ids look like.
+    """
+    numbered = documents.withColumn("id", F.get_json_object("item", "$.id").try_cast("bigint"))
+    order = [_col(name).asc() for name in ("id", "version", "item")]
+    ranked = global_rank(numbered, order, "position")
+    pages = ranked.groupBy((F.floor((_col("position") - 1) / page_size) + 1).alias("page_no")).agg(
+        F.sort_array(F.collect_list(F.struct("position", "item"))).alias("entries")
+    )
+    items = F.concat_ws(",", F.transform("entries", lambda entry: entry["item"]))
+    body = F.concat(F.lit(f'{{"{field}":['), items, F.lit("]}"))
+    return pages.select("page_no", body.alias("body"))

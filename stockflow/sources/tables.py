@@ -6,7 +6,6 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,14 +44,10 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
-        """The table, or no rows if it was never written."""
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+    def read_or_create(self, name: str, schema: T.StructType) -> DataFrame:
+        """The table; an empty one is written first if there is none."""
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def load(
         self,
