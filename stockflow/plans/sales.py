@@ -195,25 +195,16 @@ def dim_customers(t: Tables, cfg: RetailConfig) -> DataFrame:
 
 # -- daily sales ---------------------------------------------------------------
 
-_AMOUNTS = [
-    "gross_sales",
-    "discounts",
-    "returns",
-    "shipping_sales",
-    "taxes",
-    "total_sales",
-    "order_count",
-    "returned_units",
-]
+_MONEY = ["gross_sales", "discounts", "returns", "shipping_sales", "taxes", "total_sales"]
+_COUNTS = ["order_count", "returned_units"]
 
 
 def _zero() -> Column:
     return F.lit(0).cast(MONEY_TOTAL)
 
 
-def _shipping(payload: Column) -> Column:
+def _shipping(lines: Column) -> Column:
     """Sum over the shipping lines of one order, without leaving its row."""
-    lines = json_list(payload, "shipping_lines")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in schemas.SHIPPING_LINE])
 
     def amount(line: Column) -> Column:
@@ -227,70 +218,93 @@ def _shipping(payload: Column) -> Column:
     return F.coalesce(added, nothing)
 
 
-def _order_events(t: Tables, cfg: RetailConfig) -> DataFrame:
-    """Orders per trading date and sales name; the location is looked up afterwards."""
-    subtotal, discounts, taxes = F.col("subtotal_price"), F.col("total_discounts"), F.col("total_tax")
-    per_order = (
+_ORDER_COLUMNS = [
+    "order_created_at",
+    "sales_location_name",
+    "subtotal_price",
+    "total_discounts",
+    "total_tax_paid",
+    "shipping",
+]
+
+
+def _events(t: Tables) -> DataFrame:
+    """One row per order (``event_no`` 0) and per refund line of an order.
+
+    Both come out of one pass: the payload is by far the widest column, and is read
+    and parsed once. A refund without lines still gives one row.
+    """
+    arrays = T.StructType(
+        [T.StructField(name, T.ArrayType(T.StringType())) for name in ("shipping_lines", "refunds")]
+    )
+    orders = (
         t["orders"]
         .where(F.col("order_cancelled_at").isNull())
-        .select(
-            local_date(F.col("order_created_at"), cfg.trading_zone).alias("trading_date"),
-            "sales_location_name",
-            subtotal,
-            discounts,
-            taxes,
-            _shipping(F.col("payload")).alias("shipping"),
-        )
-        .where(F.col("trading_date").isNotNull())
+        .withColumn("document", F.from_json("payload", arrays))
+        .withColumn("shipping", _shipping(F.col("document.shipping_lines")))
+        .withColumnRenamed("total_tax", "total_tax_paid")
     )
-    return per_order.groupBy("trading_date", "sales_location_name").agg(
-        total(subtotal + discounts).alias("gross_sales"),
-        total(discounts).alias("discounts"),
-        F.min(_zero()).alias("returns"),
-        total(F.col("shipping")).alias("shipping_sales"),
-        total(taxes).alias("taxes"),
-        total(subtotal + taxes + F.col("shipping")).alias("total_sales"),
-        F.count(F.lit(1)).alias("order_count"),
-        F.min(F.lit(0).cast("bigint")).alias("returned_units"),
+    order_itself = F.array(F.lit(None).cast("string"))
+    refunds = F.coalesce("document.refunds", F.array().cast("array<string>"))
+    spread = orders.select(
+        *_ORDER_COLUMNS, F.posexplode(F.concat(order_itself, refunds)).alias("event_no", "refund")
     )
-
-
-def _refund_events(t: Tables, cfg: RetailConfig) -> DataFrame:
-    """Refund lines per date of processing and location; refunds without lines count."""
-    refunds = explode_json_array(
-        t["orders"].where(F.col("order_cancelled_at").isNull()).select("payload"),
-        "payload",
-        "refunds",
-        "refund",
-    ).select("refund")
-    lines = explode_json_array(refunds, "refund", "refund_line_items", "refund_line", outer=True)
-    with_refund = parse_payload(lines, "refund", {"processed_at": "processed_at"}, ["refund", "refund_line"])
-    parsed = parse_payload(
-        with_refund.withColumn("transaction", F.get(json_list(F.col("refund"), "transactions"), F.lit(0))),
+    dated = parse_payload(
+        spread, "refund", {"processed_at": "processed_at"}, [*_ORDER_COLUMNS, "event_no", "refund"]
+    )
+    first_transaction = F.get(json_list(F.col("refund"), "transactions"), F.lit(0))
+    located = parse_payload(
+        dated.withColumn("first_transaction", first_transaction),
+        "first_transaction",
+        {"transaction_location_id": "location_id"},
+        [*_ORDER_COLUMNS, "event_no", "refund", "processed_at"],
+    )
+    lines = explode_json_array(located, "refund", "refund_line_items", "refund_line", outer=True)
+    return parse_payload(
+        lines,
         "refund_line",
         schemas.REFUND_LINE,
-        ["processed_at", "transaction"],
+        [*_ORDER_COLUMNS, "event_no", "processed_at", "transaction_location_id"],
     )
-    located = parse_payload(
-        parsed, "transaction", {"transaction_location_id": "location_id"},
-        ["processed_at", *schemas.REFUND_LINE],
+
+
+def _daily_groups(t: Tables, cfg: RetailConfig) -> DataFrame:
+    """Orders per date and sales name, refunds per date and location."""
+    is_order = F.col("event_no") == 0
+    location = F.coalesce(
+        safe_long(F.col("line_location_id")), safe_long(F.col("transaction_location_id"))
     )
+    happened = F.when(is_order, F.col("order_created_at")).otherwise(safe_ts(F.col("processed_at")))
+    events = _events(t).select(
+        "*",
+        is_order.alias("is_order"),
+        local_date(happened, cfg.trading_zone).alias("trading_date"),
+        F.when(is_order, F.col("sales_location_name")).alias("order_name_of_place"),
+        F.when(~is_order, location).alias("refund_place"),
+    )
+    subtotal, discounts, taxes = F.col("subtotal_price"), F.col("total_discounts"), F.col("total_tax_paid")
+
+    def of_orders(amount: Column) -> Column:
+        return total(F.when(F.col("is_order"), amount))
+
+    def of_refunds(amount: Column) -> Column:
+        return total(F.when(~F.col("is_order"), F.coalesce(amount, F.lit(0))))
+
     return (
-        located.select(
-            local_date(safe_ts(F.col("processed_at")), cfg.trading_zone).alias("trading_date"),
-            F.coalesce(
-                safe_long(F.col("line_location_id")), safe_long(F.col("transaction_location_id"))
-            ).alias("location_id"),
-            F.coalesce(safe_money(F.col("subtotal")), F.lit(0)).alias("subtotal"),
-            F.coalesce(safe_money(F.col("total_tax")), F.lit(0)).alias("total_tax"),
-            F.coalesce(safe_long(F.col("quantity")), F.lit(0)).alias("quantity"),
-        )
-        .where(F.col("trading_date").isNotNull())
-        .groupBy("trading_date", "location_id")
+        events.where(F.col("trading_date").isNotNull())
+        .groupBy("trading_date", "is_order", "order_name_of_place", "refund_place")
         .agg(
-            total(F.col("subtotal")).alias("returns"),
-            total(F.col("total_tax")).alias("returned_tax"),
-            F.sum("quantity").alias("returned_units"),
+            of_orders(subtotal + discounts).alias("gross_sales"),
+            of_orders(discounts).alias("discounts"),
+            of_orders(F.col("shipping")).alias("shipping_sales"),
+            of_orders(taxes).alias("order_taxes"),
+            of_orders(subtotal + taxes + F.col("shipping")).alias("order_total"),
+            F.count_if("is_order").alias("order_count"),
+            of_refunds(safe_money(F.col("refund_subtotal"))).alias("refunded"),
+            of_refunds(safe_money(F.col("refund_tax"))).alias("refunded_tax"),
+            F.sum(
+                F.when(~F.col("is_order"), F.coalesce(safe_long(F.col("quantity")), F.lit(0)))
+            ).alias("returned_units"),
         )
     )
 
@@ -298,52 +312,51 @@ def _refund_events(t: Tables, cfg: RetailConfig) -> DataFrame:
 def fact_daily_sales(t: Tables, cfg: RetailConfig) -> DataFrame:
     """Orders and refunds per trading date and location.
 
-    Both streams are grouped before the location is looked up, so what is joined and
+    Events are grouped before the location is looked up, so what is joined and
     shuffled a second time is one row per date and location, not one per order.
     """
     places = t["dim_locations"].select("location_id", "location_name", "sales_location_name")
-    named = places.select(
-        "location_id", "location_name", F.col("sales_location_name").alias("known_sales_name")
-    )
-    orders = (
-        _order_events(t, cfg)
-        .join(named, F.col("sales_location_name") == F.col("known_sales_name"), "left")
-        .select(
-            "trading_date",
-            "location_id",
-            F.coalesce("location_name", "sales_location_name", F.lit("Unknown")).alias("location_name"),
-            "sales_location_name",
-            *_AMOUNTS,
-        )
+    by_name = places.select(
+        F.col("location_id").alias("named_id"),
+        F.col("location_name").alias("named_location"),
+        F.col("sales_location_name").alias("known_name"),
     )
-    refunds = (
-        _refund_events(t, cfg)
-        .join(places, "location_id", "left")
+    by_id = places.withColumnRenamed("location_id", "known_id")
+    is_order, zero = F.col("is_order"), _zero()
+    refunded, refunded_tax = F.col("refunded").cast(MONEY_SUM), F.col("refunded_tax").cast(MONEY_SUM)
+
+    def either(of_order: Column, of_refund: Column) -> Column:
+        return F.when(is_order, of_order).otherwise(of_refund)
+
+    located = (
+        _daily_groups(t, cfg)
+        .join(by_name, F.col("order_name_of_place") == F.col("known_name"), "left")
+        .join(by_id, F.col("refund_place") == F.col("known_id"), "left")
         .select(
             "trading_date",
-            "location_id",
-            F.coalesce("location_name", F.lit("Unknown")).alias("location_name"),
-            "sales_location_name",
-            _zero().alias("gross_sales"),
-            _zero().alias("discounts"),
-            "returns",
-            _zero().alias("shipping_sales"),
-            (-F.col("returned_tax")).alias("taxes"),
-            (-F.col("returns").cast(MONEY_SUM) - F.col("returned_tax").cast(MONEY_SUM))
-            .cast(MONEY_TOTAL)
-            .alias("total_sales"),
-            F.lit(0).cast("bigint").alias("order_count"),
-            "returned_units",
+            either(F.col("named_id"), F.col("refund_place")).alias("location_id"),
+            F.coalesce(
+                either(F.col("named_location"), F.col("location_name")),
+                F.col("order_name_of_place"),
+                F.lit("Unknown"),
+            ).alias("location_name"),
+            either(F.col("order_name_of_place"), F.col("sales_location_name")).alias("sales_location_name"),
+            either(F.col("gross_sales"), zero).alias("gross_sales"),
+            either(F.col("discounts"), zero).alias("discounts"),
+            either(zero, F.col("refunded")).alias("returns"),
+            either(F.col("shipping_sales"), zero).alias("shipping_sales"),
+            either(F.col("order_taxes"), -F.col("refunded_tax")).alias("taxes"),
+            either(F.col("order_total"), (-refunded - refunded_tax).cast(MONEY_TOTAL)).alias("total_sales"),
+            "order_count",
+            either(F.lit(0), F.col("returned_units")).alias("returned_units"),
         )
     )
     keys = ["trading_date", "location_id", "location_name", "sales_location_name"]
-    money = _AMOUNTS[:6]
     return (
-        orders.unionByName(refunds)
-        .groupBy(*keys)
+        located.groupBy(*keys)
         .agg(
-            *[total(F.col(name)).alias(name) for name in money],
-            *[F.sum(name).alias(name) for name in _AMOUNTS[6:]],
+            *[total(F.col(name)).alias(name) for name in _MONEY],
+            *[F.sum(name).alias(name) for name in _COUNTS],
         )
-        .select(*keys, *_AMOUNTS, modelled_at(cfg))
+        .select(*keys, *_MONEY, *_COUNTS, modelled_at(cfg))
     )

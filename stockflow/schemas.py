@@ -124,8 +124,8 @@ SHIPPING_LINE = {"discounted_price": "discounted_price", "price": "price"}
 
 REFUND_LINE = {
     "line_location_id": "location_id",
-    "subtotal": "subtotal",
-    "total_tax": "total_tax",
+    "refund_subtotal": "subtotal",
+    "refund_tax": "total_tax",
     "quantity": "quantity",
 }
 

@@ -186,8 +186,9 @@ def inventory_documents(spark: SparkSession, folder: str) -> DataFrame:
     levels = (
         flat_table(spark, folder, "part")
         .select("p_partkey")
-        # every row becomes some thirty documents: spread the keys before, not after
-        .repartition("p_partkey")
+        # every row becomes some thirty documents: spread the keys before, not after,
+        # in a number of partitions that is not reduced to fit the size of the keys
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
         .select("p_partkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(len(LOCATION_NAMES) - 1))).alias("at"))
         .withColumn("version", _versions((p % 10 == 0) & (at % 3 == 0)))
