@@ -116,6 +116,16 @@ WEEKS_IN_30_DAYS = 4.2857
 LOW_COVER_WEEKS = 2
 OVERSTOCK_WEEKS = 12
 
+RECOMMENDATION_REASON = (
+    "Move {units} unit from {sender} to {receiver}. Warehouse has {warehouse_units} units remaining."
+)
+REPORT_REASON = (
+    "Move {units} unit from {sender} to {receiver}. "
+    "{receiver} has {receiver_units} units and sold {receiver_sales} style units in 12 weeks. "
+    "{sender} has {sender_units} units and sold {sender_sales} style units. "
+    "Warehouse has {warehouse_units} units."
+)
+
 ROTATION_TYPE = "rotation_recommendation_warehouse_empty"
 CONSOLIDATION_TYPE = "style_consolidation"
 

@@ -48,16 +48,22 @@ def _scalar(path: str, payload: str) -> str:
     )
 
 
-def parse_payload(df: DataFrame, payload: str, scalars: dict[str, str], keep: list[str]) -> DataFrame:
-    """Select ``keep`` and one text column per scalar; ``scalars`` maps column to path.
+def parse_payload(
+    df: DataFrame, payload: str, scalars: dict[str, str], keep: list[str], lists: tuple[str, ...] = ()
+) -> DataFrame:
+    """Select ``keep``, one text column per scalar and one array of JSON texts per list.
 
-    The payload is parsed once per row. SQL texts instead of Column calls: with some
+    ``scalars`` maps column to path; a list is a field of the top level. The payload is parsed once per row. SQL texts instead of Column calls: with some
     thirty fields those would take longer than the parsing of a small table.
     """
     schema = _as_struct(_fields(scalars.values()))
+    for name in lists:
+        schema = schema.add(name, T.ArrayType(T.StringType()))
     parsed = df.withColumn(_PARSED, F.from_json(F.col(payload), schema))
     return parsed.selectExpr(
-        *keep, *[f"{_scalar(path, payload)} AS {name}" for name, path in scalars.items()]
+        *keep,
+        *[f"{_scalar(path, payload)} AS {name}" for name, path in scalars.items()],
+        *[f"{_PARSED}.{name} AS {name}" for name in lists],
     )
 
 

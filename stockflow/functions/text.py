@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,3 +37,17 @@ def extract_first(text: Column, pattern: str) -> Column:
 def matches(text: Column, pattern: str) -> Column:
     """Does the pattern occur in the lower-case text? NULL text counts as empty."""
     return F.lower(F.coalesce(text, F.lit(""))).rlike(pattern)
+
+
+def fill(template: str, columns: dict[str, str]) -> Column:
+    """A text with ``{name}`` replaced by columns; NULL if one of them is.
+
+    ``columns`` maps the names in the template to column names.
+    """
+    parts = []
+    for text, name, _, _ in Formatter().parse(template):
+        if text:
+            parts.append(F.lit(text))
+        if name:
+            parts.append(F.col(columns[name]).cast("string"))
+    return F.concat(*parts)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stockflow.config import RetailConfig
 from stockflow.plans import rotation, sales, staging, stock
@@ -86,6 +87,17 @@ MART_MODELS = (
     ),
 )
 
+# Reports are read in this order. A stored table has none: sorting it while writing
+# would cost a shuffle and promise nothing to the reader.
+DISPLAY_ORDER = {
+    "negative_stock_report": ("location_name", "available_quantity", "product_title", "variant_title"),
+    "store_rotation_candidates": ("-rotation_score",),
+    "store_rotation_recommendations": ("rotation_rank",),
+    "store_rotation_report": ("rotation_rank",),
+    "store_rotation_workbench": ("send_from_location_name", "product_title", "variant_title"),
+    "style_consolidation_candidates": ("send_from_location_name", "product_title", "variant_title"),
+}
+
 MODELS = {model.name: model for model in (*STAGING_MODELS, *MART_MODELS)}
 
 
@@ -113,6 +125,16 @@ class StoredTables(Mapping):
         return len(MODELS)
 
 
+def in_display_order(name: str, rows: DataFrame) -> DataFrame:
+    """Rows of a report sorted for reading; '-' marks a descending column."""
+    return rows.orderBy(
+        *[
+            F.col(column[1:]).desc() if column.startswith("-") else F.col(column).asc()
+            for column in DISPLAY_ORDER[name]
+        ]
+    )
+
+
 def build_model(model: Model, tables: StoredTables) -> LoadResult:
     """Replace the stored table of a model; a view is registered under its name."""
     rows = model.build(tables, tables.cfg)

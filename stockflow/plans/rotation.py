@@ -9,13 +9,15 @@ from stockflow.config import (
     CONSOLIDATION_TYPE,
     DENIM,
     LAST_DONOR_TIER,
+    RECOMMENDATION_REASON,
+    REPORT_REASON,
     ROTATION_TYPE,
     SCORE_PER_RECEIVER_DEMAND,
     SCORE_PER_SENDER_DEMAND,
     SCORE_WAREHOUSE_EMPTY,
     RetailConfig,
 )
-from stockflow.functions.text import matches
+from stockflow.functions.text import fill, matches
 from stockflow.operators import global_rank, pair_candidates, pivot_fixed, unique_winner
 from stockflow.operators.pairs import lane_condition
 from stockflow.operators.pivot import pick_by_name
@@ -231,38 +233,35 @@ _REPORT_COLUMNS = [
 ]
 
 
-def _sentence(*parts) -> Column:
-    """Concatenate texts and columns; NULL if a column is."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+# names in the texts of reasons -> columns
+_REASON_COLUMNS = {
+    "units": "recommended_transfer_quantity",
+    "sender": "send_from_location_name",
+    "receiver": "send_to_location_name",
+    "sender_units": "send_from_available_quantity",
+    "receiver_units": "send_to_available_quantity",
+    "sender_sales": "send_from_style_units_12_weeks",
+    "receiver_sales": "send_to_style_units_12_weeks",
+    "warehouse_units": "warehouse_available_quantity",
+}
 
 
-def _ranked_report(chosen: DataFrame, reason: Column) -> DataFrame:
+def _ranked_report(chosen: DataFrame, reason: str) -> DataFrame:
     needed = [*_REPORT_COLUMNS, "rotation_score", "modelled_at"]
     narrow = chosen.select(*dict.fromkeys([*needed, *_CANDIDATE_KEY]))
     return global_rank(narrow, _highest_score_first(), "rotation_rank").select(
         "rotation_rank",
         *_REPORT_COLUMNS,
         F.round("rotation_score", 1).alias("rotation_score"),
-        reason.alias("recommendation_reason"),
+        fill(reason, _REASON_COLUMNS).alias("recommendation_reason"),
         "modelled_at",
     )
 
 
 def store_rotation_recommendations(t: Tables, cfg: RetailConfig) -> DataFrame:
     """All candidates, ranked by score."""
-    reason = _sentence(
-        "Move ",
-        F.col("recommended_transfer_quantity"),
-        " unit from ",
-        F.col("send_from_location_name"),
-        " to ",
-        F.col("send_to_location_name"),
-        ". Warehouse has ",
-        F.col("warehouse_available_quantity"),
-        " units remaining.",
-    )
     chosen = t["store_rotation_candidates"].where(F.col("warehouse_available_quantity") <= 0)
-    return _ranked_report(chosen, reason)
+    return _ranked_report(chosen, RECOMMENDATION_REASON)
 
 
 def _mutual_best(t: Tables) -> DataFrame:
@@ -273,31 +272,7 @@ def _mutual_best(t: Tables) -> DataFrame:
 
 def store_rotation_report(t: Tables, cfg: RetailConfig) -> DataFrame:
     """Moves that are the best choice for both ends, ranked by score."""
-    receiver, sender = F.col("send_to_location_name"), F.col("send_from_location_name")
-    reason = _sentence(
-        "Move ",
-        F.col("recommended_transfer_quantity"),
-        " unit from ",
-        sender,
-        " to ",
-        receiver,
-        ". ",
-        receiver,
-        " has ",
-        F.col("send_to_available_quantity"),
-        " units and sold ",
-        F.col("send_to_style_units_12_weeks"),
-        " style units in 12 weeks. ",
-        sender,
-        " has ",
-        F.col("send_from_available_quantity"),
-        " units and sold ",
-        F.col("send_from_style_units_12_weeks"),
-        " style units. Warehouse has ",
-        F.col("warehouse_available_quantity"),
-        " units.",
-    )
-    return _ranked_report(_mutual_best(t), reason)
+    return _ranked_report(_mutual_best(t), REPORT_REASON)
 
 
 def store_rotation_workbench(t: Tables, cfg: RetailConfig) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stockflow import schemas
 from stockflow.config import RetailConfig
-from stockflow.functions import json_list, local_date, safe_long, safe_money, safe_ts
+from stockflow.functions import local_date, safe_long, safe_money, safe_ts
 from stockflow.functions.casts import (
     MONEY_SUM,
     MONEY_TOTAL,
@@ -17,7 +17,7 @@ from stockflow.functions.casts import (
 )
 from stockflow.functions.dates import instant
 from stockflow.functions.json import parse_payload
-from stockflow.operators import explode_json_array, latest_by
+from stockflow.operators import latest_by
 from stockflow.plans.staging import Tables
 
 
@@ -234,34 +234,36 @@ def _events(t: Tables) -> DataFrame:
     Both come out of one pass: the payload is by far the widest column, and is read
     and parsed once. A refund without lines still gives one row.
     """
-    arrays = T.StructType(
-        [T.StructField(name, T.ArrayType(T.StringType())) for name in ("shipping_lines", "refunds")]
-    )
     orders = (
-        t["orders"]
-        .where(F.col("order_cancelled_at").isNull())
-        .withColumn("document", F.from_json("payload", arrays))
-        .withColumn("shipping", _shipping(F.col("document.shipping_lines")))
-        .withColumnRenamed("total_tax", "total_tax_paid")
+        parse_payload(
+            t["orders"].where(F.col("order_cancelled_at").isNull()),
+            "payload",
+            {},
+            [*_ORDER_COLUMNS[:4], "total_tax AS total_tax_paid"],
+            lists=("shipping_lines", "refunds"),
+        )
+        .withColumn("shipping", _shipping(F.col("shipping_lines")))
     )
     order_itself = F.array(F.lit(None).cast("string"))
-    refunds = F.coalesce("document.refunds", F.array().cast("array<string>"))
+    refunds = F.coalesce("refunds", F.array().cast("array<string>"))
     spread = orders.select(
         *_ORDER_COLUMNS, F.posexplode(F.concat(order_itself, refunds)).alias("event_no", "refund")
     )
-    dated = parse_payload(
-        spread, "refund", {"processed_at": "processed_at"}, [*_ORDER_COLUMNS, "event_no", "refund"]
+    of_refund = parse_payload(
+        spread,
+        "refund",
+        {"processed_at": "processed_at"},
+        [*_ORDER_COLUMNS, "event_no"],
+        lists=("transactions", "refund_line_items"),
     )
-    first_transaction = F.get(json_list(F.col("refund"), "transactions"), F.lit(0))
     located = parse_payload(
-        dated.withColumn("first_transaction", first_transaction),
+        of_refund.withColumn("first_transaction", F.get("transactions", F.lit(0))),
         "first_transaction",
         {"transaction_location_id": "location_id"},
-        [*_ORDER_COLUMNS, "event_no", "refund", "processed_at"],
+        [*_ORDER_COLUMNS, "event_no", "processed_at", "refund_line_items"],
     )
-    lines = explode_json_array(located, "refund", "refund_line_items", "refund_line", outer=True)
     return parse_payload(
-        lines,
+        located.withColumn("refund_line", F.explode_outer("refund_line_items")),
         "refund_line",
         schemas.REFUND_LINE,
         [*_ORDER_COLUMNS, "event_no", "processed_at", "transaction_location_id"],
@@ -291,9 +293,10 @@ def _daily_groups(t: Tables, cfg: RetailConfig) -> DataFrame:
         return total(F.when(~F.col("is_order"), F.coalesce(amount, F.lit(0))))
 
     return (
-        events.where(F.col("trading_date").isNotNull())
-        .groupBy("trading_date", "is_order", "order_name_of_place", "refund_place")
+        events.groupBy("trading_date", "is_order", "order_name_of_place", "refund_place")
         .agg(
+            # a filter on the key itself would be moved below, and parse every event twice
+            F.max("trading_date").alias("dated"),
             of_orders(subtotal + discounts).alias("gross_sales"),
             of_orders(discounts).alias("discounts"),
             of_orders(F.col("shipping")).alias("shipping_sales"),
@@ -306,6 +309,7 @@ def _daily_groups(t: Tables, cfg: RetailConfig) -> DataFrame:
                 F.when(~F.col("is_order"), F.coalesce(safe_long(F.col("quantity")), F.lit(0)))
             ).alias("returned_units"),
         )
+        .where(F.col("dated").isNotNull())
     )
 
 

@@ -240,9 +240,6 @@ def negative_stock_report(t: Tables, cfg: RetailConfig) -> DataFrame:
     )
 
 
-NEGATIVE_STOCK_ORDER = ["location_name", "available_quantity", "product_title", "variant_title"]
-
-
 def negative_stock_location_summary(t: Tables, cfg: RetailConfig) -> DataFrame:
     """Counts and extremes of the negative stock report per location."""
     return (
