@@ -65,13 +65,28 @@ class TableStore:
         if track is not None:
             # without zone: Python would otherwise turn it into the driver's local time
             measures.append(F.max(track.cast("timestamp_ntz")).alias("latest"))
+        target, mode = self.path(name), DISPOSITIONS[disposition]
+        # an overwrite first deletes what is there, so it goes to a folder of its own
+        written = f"{target}.new-{uuid.uuid4().hex}" if mode == "overwrite" else target
         try:
-            rows.observe(seen, *measures).write.mode(DISPOSITIONS[disposition]).parquet(self.path(name))
+            rows.observe(seen, *measures).write.mode(mode).parquet(written)
             found = seen.get
+            if written != target:
+                self._move(written, target)
         except Exception as error:
             return LoadResult(name, FAILED, 0, str(error))
         return LoadResult(name, SUCCESS, found["rows"], latest=found.get("latest"))
 
+    def _move(self, source: str, target: str) -> None:
+        """Put a finished table in the place of the old one."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path
+        files = path(target).getFileSystem(context._jsc.hadoopConfiguration())
+        files.delete(path(target), True)
+        if not files.rename(path(source), path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
     def replace(self, name: str, rows: DataFrame) -> LoadResult:
-        """Full refresh: the table holds exactly ``rows`` afterwards."""
+        """Full refresh: the table holds exactly ``rows`` afterwards, or, if that fails,
+        what it held before."""
         return self.load(name, rows, "truncate")

@@ -147,6 +147,21 @@ def test_load_dispositions(spark, store):
     assert store.read("t").count() == 1
 
 
+def test_a_failed_replace_keeps_the_old_table(spark, store):
+    store.replace("t", spark.range(3))
+    lost = spark.range(5).select(F.raise_error(F.lit("executor lost")).cast("bigint").alias("id"))
+    result = store.replace("t", lost)
+    assert (result.status, result.rows_loaded) == ("failed", 0)
+    assert "executor lost" in result.error_message
+    assert store.read("t").count() == 3
+
+
+def test_a_table_can_be_replaced_from_itself(spark, store):
+    store.replace("t", spark.range(3))
+    assert store.replace("t", store.read("t").where("id > 0")).rows_loaded == 2
+    assert store.read("t").count() == 2
+
+
 def test_run_history_is_appended(spark, store):
     for result in (LoadResult("t", "success", 5), LoadResult("t", "failed", 0, "no")):
         record_run(store, "shop-orders", NOW, datetime(2026, 7, 10, 12, 1), result)
