@@ -19,7 +19,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from registry.operators import OPERATOR_QUERIES  # noqa: E402
 from stockflow import build_session  # noqa: E402
-from stockflow.plans.models import MART_MODELS, STAGING_MODELS, TABLE, StoredTables  # noqa: E402
+from stockflow.plans.models import (  # noqa: E402
+    MART_MODELS,
+    STAGING_MODELS,
+    TABLE,
+    StoredTables,
+    stored_layout,
+)
 from stockflow.session import scratch_path  # noqa: E402
 from stockflow.sources import TableStore, feed  # noqa: E402
 
@@ -63,7 +69,9 @@ def run(spark, folder: str) -> tuple[dict[str, float], float]:
     for model in (*STAGING_MODELS, *MART_MODELS):
         if model.kind == TABLE:
             seconds[model.name] = timed(
-                lambda: write_or_fail(store, model.name, model.build(tables, tables.cfg))
+                lambda: write_or_fail(
+                    store, model.name, stored_layout(model, model.build(tables, tables.cfg))
+                )
             )
         else:
             seconds[model.name] = timed(

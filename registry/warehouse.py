@@ -6,11 +6,14 @@ once per session and version of the input files, and kept in the shared folder.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.plans.models import MODELS, TABLE, StoredTables
+from stockflow.plans.models import MODELS, TABLE, StoredTables, stored_layout
 from stockflow.session import prepare, scratch_path
 from stockflow.sources import feed
 from stockflow.sources.tables import TableStore
@@ -25,27 +28,38 @@ class Warehouse(StoredTables):
         super().__init__(store, feed.FEED_CONFIG)
         self.folder = folder
         self.written: set[str] = set()
+        self.locks = {name: Lock() for name in (*feed.RAW_TABLES, *MODELS)}
 
     def __getitem__(self, name: str) -> DataFrame:
         self._ensure(name)
         return super().__getitem__(name)
 
     def _ensure(self, name: str) -> None:
-        if name in self.written:
-            return
+        # inputs at the same time: on small tables a single job leaves most cores idle
+        inputs = MODELS[name].inputs if name in MODELS else ()
+        if name not in self.written and inputs:
+            with ThreadPoolExecutor(len(inputs)) as pool:
+                list(pool.map(self._ensure, inputs))
+        with self.locks[name]:
+            if name not in self.written:
+                self._write(name)
+                self.written.add(name)
+
+    def _write(self, name: str) -> None:
         if name in feed.RAW_TABLES:
             rows = feed.RAW_TABLES[name](self.store.spark, self.folder)
         elif MODELS[name].kind == TABLE:
-            rows = self.model(name)
+            rows = stored_layout(MODELS[name], MODELS[name].build(self, self.cfg))
         else:
             return
         result = self.store.replace(name, rows)
         if not result.ok:
             raise RuntimeError(f"{name}: {result.error_message}")
-        self.written.add(name)
 
     def model(self, name: str) -> DataFrame:
         """The model as a query over its stored inputs."""
+        with ThreadPoolExecutor(len(MODELS[name].inputs)) as pool:
+            list(pool.map(self._ensure, MODELS[name].inputs))
         return MODELS[name].build(self, self.cfg)
 
 
