@@ -28,9 +28,16 @@ def _sorted_rows(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
 
 
+SAME_TYPE = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def differences(df, connection, sql: str) -> list[str]:
-    """Empty if columns, kinds of values, number of rows and all values agree."""
+    """Empty if columns, their types, the number of rows and all values agree."""
     result = connection.execute(sql)
+    types = {column[0]: str(column[1]) for column in result.description}
+    other = {n: (t, types[n]) for n, t in df.dtypes if n in types and SAME_TYPE.get(t) != types[n]}
+    if other:
+        return [f"types: {other}"]
     names = [column[0] for column in result.description]
     if sorted(names) != sorted(df.columns):
         return [f"columns: {sorted(set(names) ^ set(df.columns))}"]

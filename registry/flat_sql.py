@@ -237,8 +237,8 @@ place AS (
                                'Spring1883', 'Smith St', 'Paddington') AS can_send,
          location_name NOT IN ('Claremont', 'Wellington', 'James St', 'Paddington', 'Online / Warehouse',
                                'Faulty Land', 'Sparehouse', 'Melbourne Outlet', 'Spring1883') AS can_receive,
-         CASE location_name WHEN 'Flinders Lane' THEN 100 WHEN 'Fitzroy' THEN 95 WHEN 'Smith St' THEN 90
-                            WHEN 'Newtown' THEN 85 WHEN 'Oxford St' THEN 80 ELSE 0 END AS priority
+         CAST(CASE location_name WHEN 'Flinders Lane' THEN 100 WHEN 'Fitzroy' THEN 95 WHEN 'Smith St' THEN 90
+                                 WHEN 'Newtown' THEN 85 WHEN 'Oxford St' THEN 80 ELSE 0 END AS BIGINT) AS priority
   FROM loc
 ),
 base AS (
@@ -262,9 +262,9 @@ move AS (
          r.warehouse_available_quantity,
          CASE WHEN r.location_name IN ('Oxford St', 'Newtown') OR r.available_quantity = 1 THEN 1
               ELSE least(s.available_quantity, 2) END AS recommended_transfer_quantity,
-         CASE s.location_name WHEN 'Newtown' THEN 1 WHEN 'Oxford St' THEN 2 WHEN 'Wellington' THEN 3
+         CAST(CASE s.location_name WHEN 'Newtown' THEN 1 WHEN 'Oxford St' THEN 2 WHEN 'Wellington' THEN 3
               WHEN 'Claremont' THEN 3 WHEN 'James St' THEN 3 WHEN 'Flinders Lane' THEN 4 WHEN 'Fitzroy' THEN 4
-              ELSE 99 END AS donor_tier,
+              ELSE 99 END AS BIGINT) AS donor_tier,
          r.style_demand_score - s.style_demand_score AS style_demand_gap,
          r.style_demand_score * 20 - s.style_demand_score * 5 + r.priority + 75 AS rotation_score
   FROM base AS r JOIN base AS s ON r.variant_id = s.variant_id AND r.location_id <> s.location_id
