@@ -28,7 +28,7 @@ def _sorted_rows(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-SAME_TYPE = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def differences(df, connection, sql: str) -> list[str]:
