@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import packing, pii, quality
+from stockflow.llm import ngram_join, packing, pii, quality
 from stockflow.llm.encoding import public_vocabulary
 from stockflow.llm.queries import BYTE_VOCABULARY, END_ID, table
 from stockflow.session import scratch_path
@@ -19,6 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts."""
+    return ngram_join.keep_one_per_group(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
     return pii.redact(docs)
@@ -31,6 +36,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("personal_data", personal_data),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, packing, pii, quality, sharding, token_files
+from stockflow.llm import chat, embedding_join, ngram_join, packing, pii, quality, sharding, token_files
 from stockflow.llm.encoding import public_vocabulary
 from stockflow.llm.sql import CHAT_SQL, PII_SQL, SHARDING_SQL
 from stockflow.session import scratch_path
@@ -24,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ngram_query(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.similar_documents(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "copy_id", "n_copies", "n_links")
+
+
 def sharding_query(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
@@ -58,13 +63,19 @@ def pii_query(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.find_pii(table(spark, folder, "documents")))
 
 
+def embedding_query(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_join.similar_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": ngram_query,
     "op3_stratified_sharding": sharding_query,
     "op4_token_files": token_files_query,
     "op5_quality_rules": quality_query,
     "op6_best_fit_packing": packing_query,
     "op7_chat_examples": chat_query,
     "op8_personal_data": pii_query,
+    "op10_embedding_join": embedding_query,
 }
 
 # The others cannot be said in SQL (token ids, learned rules, packing, candidate search);
