@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 
+from stockflow.llm.shingles import text_slices
+
 # the table is started anew beyond so many pieces; longer pieces do not enter it
 TABLE_PIECES = 1_000_000
 TABLE_LENGTH = 48
@@ -52,10 +54,73 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class ChunkEncoder:
-    """Encodes arrays of texts. One per worker process: its table stays between tasks."""
+class TableEncoder:
+    """Ids of texts made of pieces that are encoded alone; each different piece once.
+
+    One per worker process: the table stays between tasks.
+    """
+
+    def __init__(self):
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the table: piece to its number; the ids of all pieces, one after the other."""
+        self._number: dict[bytes, int] = {}
+        self._ids = np.zeros(0, "<u4")
+        self._ends = np.zeros(1, np.int64)
+
+    def _piece_ids(self, piece: bytes) -> list[int]:
+        raise NotImplementedError
+
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces start in the bytes of some texts."""
+        raise NotImplementedError
+
+    def _rows(self, pieces: list[bytes]) -> np.ndarray:
+        """The table's numbers of some different pieces; new ones are added."""
+        number, added, lengths, row = self._number, [], [], len(self._ends) - 1
+        rows = [number.get(piece, -1) for piece in pieces]
+        for i, found in enumerate(rows):
+            if found < 0:
+                ids = self._piece_ids(pieces[i])
+                added += ids
+                lengths.append(len(ids))
+                rows[i] = row
+                if len(pieces[i]) <= TABLE_LENGTH:
+                    number[pieces[i]] = row
+                row += 1
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
+        self._ids = np.concatenate([self._ids, np.array(added, "<u4")])
+        return np.array(rows)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Yield, for slices of ``texts``, their ids and the offsets of each text in them."""
+        for data, offsets in text_slices(texts, SLICE_BYTES):
+            yield self.encode_bytes(data, offsets)
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        if len(self._number) > TABLE_PIECES or len(self._ends) > 2 * TABLE_PIECES:
+            self._forget()
+        cuts = self._cuts(data, offsets)
+        edges = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(cuts), [None, edges, pa.py_buffer(data)]
+        ).dictionary_encode()
+        rows = self._rows(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
+        begin = self._ends[rows]
+        counts = self._ends[rows + 1] - begin
+        ends = np.cumsum(counts)
+        places = np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1])
+        return self._ids[places], np.concatenate([[0], ends])[np.searchsorted(cuts, offsets)]
+
+
+class ChunkEncoder(TableEncoder):
+    """Encodes by a vocabulary file of the tokenizers library."""
 
     def __init__(self, vocabulary: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -65,7 +130,6 @@ class ChunkEncoder:
         self._letters = _byte_letters()
         with open(vocabulary, encoding="utf-8") as source:
             self._lower, self._split = self._steps(json.load(source))
-        self._forget()
 
     @staticmethod
     def _steps(described: dict):
@@ -82,12 +146,6 @@ class ChunkEncoder:
             return True, regex.compile(parts[0]["pattern"]["Regex"])
         return False, None
 
-    def _forget(self) -> None:
-        """Start the table: piece to its number; the ids of all pieces, one after the other."""
-        self._number: dict[bytes, int] = {}
-        self._ids = np.zeros(0, "<u4")
-        self._ends = np.zeros(1, np.int64)
-
     def whole(self, text: str) -> list[int]:
         """The ids of a text by the library alone."""
         return self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -104,25 +162,7 @@ class ChunkEncoder:
             ids += [token.id for token in self._model.tokenize(letters)]
         return ids
 
-    def _rows(self, pieces: list[bytes]) -> np.ndarray:
-        """The table's numbers of some different pieces; new ones are added."""
-        number, added, lengths, row = self._number, [], [], len(self._ends) - 1
-        rows = [number.get(piece, -1) for piece in pieces]
-        for i, found in enumerate(rows):
-            if found < 0:
-                ids = self._piece_ids(pieces[i])
-                added += ids
-                lengths.append(len(ids))
-                rows[i] = row
-                if len(pieces[i]) <= TABLE_LENGTH:
-                    number[pieces[i]] = row
-                row += 1
-        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
-        self._ids = np.concatenate([self._ids, np.array(added, "<u4")])
-        return np.array(rows)
-
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where pieces start in the bytes of some texts."""
         starts = offsets[:-1][offsets[:-1] < offsets[1:]]
         if self._split is None:
             return starts
@@ -148,38 +188,6 @@ class ChunkEncoder:
                     cut[offsets[i] + 1 : offsets[i + 1]] = False
         return np.flatnonzero(cut)
 
-    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Yield, for slices of ``texts``, their ids and the offsets of each text in them."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        lengths = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
-        ends = np.cumsum(lengths)
-        start = 0
-        while start < len(texts):
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
-            yield self._encode_slice(texts.slice(start, stop - start))
-            start = stop
-
-    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._number) > TABLE_PIECES or len(self._ends) > 2 * TABLE_PIECES:
-            self._forget()
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        if offsets[-1] == offsets[0]:
-            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        cuts = self._cuts(data, offsets)
-        edges = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
-        pieces = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(cuts), [None, edges, pa.py_buffer(data)]
-        ).dictionary_encode()
-        rows = self._rows(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
-        begin = self._ends[rows]
-        counts = self._ends[rows + 1] - begin
-        ends = np.cumsum(counts)
-        places = np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1])
-        return self._ids[places], np.concatenate([[0], ends])[np.searchsorted(cuts, offsets)]
-
 
 _encoders: dict[str, ChunkEncoder] = {}
 
