@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import ngram_join, packing, pii, quality
+from stockflow.llm import ngram_join, packing, pii, quality, suffix_dedup
 from stockflow.llm.encoding import public_vocabulary
 from stockflow.llm.queries import BYTE_VOCABULARY, END_ID, table
 from stockflow.session import scratch_path
@@ -24,6 +24,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return ngram_join.keep_one_per_group(docs)
 
 
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings that documents before them hold."""
+    return suffix_dedup.deduplicated(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
     return pii.redact(docs)
@@ -37,6 +42,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
     ("personal_data", personal_data),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, embedding_join, ngram_join, packing, pii, piece_scan, quality, sharding, token_files
+from stockflow.llm import chat, embedding_join, ngram_join, packing, pii, piece_scan, quality, sharding, suffix_dedup, token_files
 from stockflow.llm.encoding import public_vocabulary
 from stockflow.llm.sql import CHAT_SQL, PII_SQL, SHARDING_SQL
 from stockflow.session import scratch_path
@@ -30,6 +30,10 @@ def ngram_query(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "copy_id", "n_copies", "n_links")
 
 
+def suffix_query(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removed_spans(table(spark, folder, "documents"))
+
+
 def sharding_query(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ def embedding_query(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_query,
+    "op2_suffix_dedup": suffix_query,
     "op3_stratified_sharding": sharding_query,
     "op4_token_files": token_files_query,
     "op5_quality_rules": quality_query,
