@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -94,6 +95,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": "16" if cpus == "*" else str(2 * int(cpus)),
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     smallest = Path(folder).parent / "sf0.001"

@@ -75,17 +75,16 @@ level AS (
 )"""
 
 LINES = """
-sized AS (
-  SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS line_count FROM lineitem
-),
 typed AS (
   SELECT *,
-         l_orderkey + 10000000000 * CASE WHEN line_count > 1000
-           THEN (l_partkey * 31 + l_suppkey * 17 + l_linenumber) % (line_count // 250) ELSE 0 END AS order_id,
+         l_orderkey + 1000000000000 * (row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                    l_returnflag, l_linestatus, l_shipdate) - 1) AS order_id,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS BIGINT) AS units,
          CASE WHEN l_partkey % 19 = 0 THEN NULL
               WHEN l_linenumber % 2 = 1 THEN l_partkey % 200 ELSE l_partkey END AS product
-  FROM sized
+  FROM lineitem
 ),
 item AS (
   SELECT *,
@@ -108,12 +107,12 @@ ord AS (
               ELSE 'CUST' || o_custkey || '@Example.com' END AS customer_email,
          CASE WHEN o_orderstatus = 'F' THEN 'fulfilled' END AS fulfillment_status,
          COALESCE(subtotal, 0) AS subtotal, COALESCE(discounts, 0) AS discounts, COALESCE(taxes, 0) AS taxes,
-         CASE o_orderkey % 3 WHEN 0 THEN 0.00 WHEN 1 THEN 9.95 ELSE 10.00 END AS shipping,
+         CASE WHEN order_id <> o_orderkey OR o_orderkey % 3 = 0 THEN 0.00
+              WHEN o_orderkey % 3 = 1 THEN 9.95 ELSE 10.00 END AS shipping,
          CASE WHEN o_custkey % 13 = 0 THEN NULL WHEN o_custkey % 97 = 5 THEN 'Popup'
               ELSE {SALES_NAMES}[CAST(o_custkey % 12 AS INT) + 1] END AS sales_location_name,
          CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INT)) AS created,
-         CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INT))
-           + to_days(CAST(o_orderkey % 5 + 1 AS INT)) AS updated,
+         TIMESTAMP '2001-08-02 00:00:00' + to_days(CAST(o_orderkey % 5 AS INT)) AS updated,
          CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 = 0 THEN CAST(o_orderdate AS TIMESTAMP)
            + to_hours(CAST(o_orderkey % 24 AS INT)) + to_days(1) END AS cancelled
   FROM orders LEFT JOIN doc ON o_orderkey = l_orderkey
@@ -168,7 +167,7 @@ cust_version AS (
          'Country ' || c_nationkey AS country, 'C' || c_nationkey AS country_code,
          c_mktsegment AS province, substr(c_mktsegment, 1, 3) AS province_code,
          'City ' || (c_custkey % 100) AS city, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS postcode,
-         CAST(c_custkey + 61400000000 AS VARCHAR) AS address_phone
+         CASE WHEN c_custkey % 16 <> 1 THEN CAST(c_custkey + 61400000000 AS VARCHAR) END AS address_phone
   FROM customer CROSS JOIN (VALUES (0), (1)) AS two(version)
   WHERE version = 1 OR c_custkey % 10 = 0
 )"""

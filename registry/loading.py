@@ -24,13 +24,20 @@ from registry.warehouse import open_warehouse, present
 from stockflow.functions import safe_long
 from stockflow.functions.dates import instant
 from stockflow.operators import upsert
-from stockflow.plans.ingest import IngestJob, inventory_item_ids, levels_of_known_items, pages_to_raw
-from stockflow.plans.models import MART_MODELS, STAGING_MODELS, TABLE, StoredTables
+from stockflow.plans.ingest import (
+    IngestJob,
+    ingest,
+    inventory_item_ids,
+    levels_of_known_items,
+    pages_to_raw,
+    record_run,
+)
+from stockflow.plans.models import MART_MODELS, STAGING_MODELS, TABLE, StoredTables, with_display_position
 from stockflow.plans.quality import quality_report
-from stockflow.plans.refresh import run_daily_refresh
+from stockflow.plans.refresh import run_daily_refresh, run_marts
 from stockflow.session import prepare, scratch_path
 from stockflow.sources import (
-    LoadResult,
+    CursorTable,
     TableStore,
     cap_pages,
     latest_cursor,
@@ -45,6 +52,7 @@ LOADING_QUERIES: dict = {}
 LOADING_SQL: dict[str, str] = {}
 PAGE_SIZE = 250
 NOW = datetime(2001, 8, 1, 6)
+EARLIER = datetime(2001, 7, 31, 6)
 
 
 def query(sql: str | None = None):
@@ -119,23 +127,37 @@ def ingest_envelope(spark, folder):
     )
 
 
-@query(with_ctes((CUST_VERSION,), """
-SELECT customer_id, version = 1 AS is_newest, true AS has_phone_key, phone,
-       CASE WHEN has_address THEN address_phone END AS address_phone,
-       CASE WHEN has_address THEN 'VARCHAR' END AS address_phone_kind FROM cust_version
+@query(with_ctes((CUST_VERSION, LOC, LINES, ORD), """
+SELECT 'customer' AS entity, customer_id AS id, version = 1 AS is_newest, true AS has_phone_key, phone,
+       CASE WHEN has_address THEN true END AS address_has_phone, CASE WHEN has_address THEN address_phone END AS address_phone,
+       CASE WHEN has_address AND address_phone IS NOT NULL THEN 'STRING' END AS address_phone_kind FROM cust_version
+UNION ALL SELECT 'location', location_id, true, true, CAST(location_id + 61390000000 AS VARCHAR), NULL, NULL, NULL FROM loc
+UNION ALL SELECT 'order', order_id, newest, o_orderkey % 3 = 0,
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey + 61700000000 AS VARCHAR) END, true,
+       CAST(o_custkey + 61800000000 AS VARCHAR), 'STRING'
+FROM ord CROSS JOIN (VALUES (true), (false)) AS two(newest) WHERE newest OR o_orderkey % 5 = 0
 """))
 def phone_normalised(spark, folder):
-    raw = open_warehouse(spark, folder)["raw_customers"]
-    variant = F.try_parse_json("payload")
-    kind = F.schema_of_variant(F.try_variant_get(variant, "$.default_address.phone", "variant"))
-    return raw.select(
-        safe_long(F.col("record_id")).alias("customer_id"),
-        (F.to_date("extracted_at") == F.lit("2001-08-01").cast("date")).alias("is_newest"),
-        F.array_contains(F.json_object_keys("payload"), "phone").alias("has_phone_key"),
-        F.get_json_object("payload", "$.phone").alias("phone"),
-        F.get_json_object("payload", "$.default_address.phone").alias("address_phone"),
-        F.when(kind == "STRING", F.lit("VARCHAR")).otherwise(kind).alias("address_phone_kind"),
-    )
+    """Phones are text in the payloads of every entity, at any depth."""
+    warehouse = open_warehouse(spark, folder)
+
+    def phones(entity: str, table: str, address: str) -> DataFrame:
+        path = f"$.{address}"
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("payload"), f"{path}.phone", "variant"))
+        return warehouse[table].select(
+            F.lit(entity).alias("entity"),
+            safe_long(F.col("record_id")).alias("id"),
+            (F.to_date("extracted_at") == F.lit("2001-08-01").cast("date")).alias("is_newest"),
+            F.array_contains(F.json_object_keys("payload"), "phone").alias("has_phone_key"),
+            F.get_json_object("payload", "$.phone").alias("phone"),
+            F.array_contains(F.json_object_keys(F.get_json_object("payload", path)), "phone").alias("address_has_phone"),
+            F.get_json_object("payload", f"{path}.phone").alias("address_phone"),
+            F.when(kind != "VOID", kind).alias("address_phone_kind"),
+        )
+
+    customers = phones("customer", "raw_customers", "default_address")
+    locations = phones("location", "raw_locations", "billing_address")
+    return customers.union(locations).union(phones("order", "raw_orders", "billing_address"))
 
 
 @query(with_ctes((LEVEL,), """
@@ -209,11 +231,6 @@ def levels_of_items(spark, folder):
     ).agg(F.count(F.lit(1)).alias("level_count"))
 
 
-def _results(spark: SparkSession, steps: list[tuple[str, LoadResult]]) -> DataFrame:
-    rows = [(step, result.status, result.rows_loaded) for step, result in steps]
-    return spark.createDataFrame(rows, "step string, status string, rows_loaded bigint")
-
-
 @query("""
 SELECT step, status, rows_loaded, rows_stored FROM (VALUES
   ('1 append', 'success', 1, 1), ('2 append again', 'success', 1, 2),
@@ -307,38 +324,164 @@ _REFRESHED = {
 }
 
 
-# pages hold the newest version of each record only
-_REFRESHED_SQL = {"customers": "SELECT * FROM customer"}
+# levels are only loaded for the items of known variants
+_REFRESHED_SQL = {
+    "inventory_levels": with_ctes(
+        (PROD, VARIANT, LEVEL), "SELECT * FROM level WHERE inventory_item_id IN (SELECT inventory_item_id FROM variant)"
+    ),
+}
+# rows that each run loads, and what the first one stages
+_RUNS_SQL = with_ctes((PROD, VARIANT, LEVEL, LOC, LINES, ORD), """
+SELECT run, step, 'success' AS status, rows_written FROM (
+  SELECT 1 AS run, 'raw_products' AS step, count(*) AS rows_written FROM prod WHERE product_id % 4 = 0
+  UNION ALL SELECT 1, 'products', count(*) FROM prod WHERE product_id % 4 = 0
+  UNION ALL SELECT 1, 'raw_orders', count(*) FROM ord WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT 1, 'orders', count(*) FROM ord WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT 1, 'raw_customers', count(*) FROM customer WHERE c_custkey % 10 = 0
+  UNION ALL SELECT 1, 'customers', count(*) FROM customer WHERE c_custkey % 10 = 0
+  UNION ALL SELECT 1, unnest(['raw_locations', 'raw_inventory_levels', 'locations', 'inventory_levels',
+                              'product_variants', 'order_lines']), 0
+  UNION ALL SELECT 2, 'raw_products', count(*) FROM prod
+  UNION ALL SELECT 2, 'raw_locations', count(*) FROM loc
+  UNION ALL SELECT 2, 'raw_orders', count(*) FROM ord
+  UNION ALL SELECT 2, 'raw_customers', count(*) FROM customer
+  UNION ALL SELECT 2, 'raw_inventory_levels', count(*) FROM level
+            WHERE inventory_item_id IN (SELECT inventory_item_id FROM variant))
+""")
+
+
+def landed(spark: SparkSession, folder: str, root: str, newest: bool) -> dict[str, DataFrame]:
+    """The pages of every entity of one delivery, written under ``root``."""
+    pages = {}
+    for entity, (documents, field) in feed.PAGED_DOCUMENTS.items():
+        path = f"{root}/{field}"
+        feed.landed_pages(feed.delivered(documents(spark, folder), newest), field, PAGE_SIZE).write.json(path)
+        pages[entity] = read_pages(spark, path)
+    return pages
 
 
 @query(
-    "\nUNION ALL ".join(
-        f"SELECT '{model.name}' AS model, 'success' AS status, count(*) AS rows_written FROM ("
+    f"SELECT * FROM ({_RUNS_SQL})\nUNION ALL "
+    + "\nUNION ALL ".join(
+        f"SELECT 2 AS run, '{model.name}' AS step, 'success' AS status, count(*) AS rows_written FROM ("
         + _REFRESHED_SQL.get(model.name, MODEL_SQL[_REFRESHED.get(model.name, model.name)]) + ")"
         for model in (*STAGING_MODELS, *MART_MODELS)
         if model.kind == TABLE
     )
 )
 def refresh_summary(spark, folder):
-    """The whole daily job, from landed pages to checked marts."""
+    """The whole daily job twice, from landed pages to checked marts: first over the older
+    versions of all records, then over the newest ones on top of them."""
     store = TableStore(prepare(spark), scratch_path(spark, "refresh"))
     tables = StoredTables(store, feed.FEED_CONFIG)
-    pages = {}
-    for entity, (documents, field) in feed.PAGED_DOCUMENTS.items():
-        path = store.path(f"landing/{field}")
-        feed.landed_pages(feed.newest_only(documents(spark, folder)), field, PAGE_SIZE).write.json(path)
-        pages[entity] = read_pages(spark, path)
-    outcome = run_daily_refresh(pages, store, tables, NOW)
-    if outcome.failed_stage:
-        raise RuntimeError(f"{outcome.failed_stage}: {outcome.error_message}")
-    written = [r for stage in (outcome.staging, outcome.marts) for r in stage.results]
-    tables_only = [r for r in written if not r.table.startswith("negative_stock")]
-    return spark.createDataFrame(
-        [(r.table, r.status, r.rows_loaded) for r in tables_only],
-        "model string, status string, rows_written bigint",
+    rows = []
+    for run, now in ((1, EARLIER), (2, NOW)):
+        outcome = run_daily_refresh(landed(spark, folder, store.path(f"landing/{run}"), run == 2), store, tables, now)
+        if outcome.failed_stage:
+            raise RuntimeError(f"{outcome.failed_stage}: {outcome.error_message}")
+        stages = (outcome.staging, outcome.marts) if run == 2 else (outcome.staging,)
+        results = [*outcome.ingested.values(), *(r for stage in stages for r in stage.results)]
+        rows += [(run, r.table, r.status, r.rows_loaded) for r in results if not r.table.startswith("negative_stock")]
+    return spark.createDataFrame(rows, "run int, step string, status string, rows_written bigint")
+
+
+_ORDER_COUNTS = "count(*) FILTER (o_orderkey % 5 = 0) AS older, count(*) AS newest"
+
+
+@query(with_ctes((LINES, ORD), f"""
+SELECT step, status, rows_loaded, strftime(cursor_value, '%Y-%m-%d %H:%M:%S') AS cursor_value FROM (
+  SELECT {_ORDER_COUNTS}, max(created) FILTER (o_orderkey % 5 = 0) AS first_at, max(updated) AS last_at FROM ord)
+  CROSS JOIN LATERAL (VALUES
+    ('1 older versions', 'success', older, first_at), ('2 lost page', 'failed', 0, first_at),
+    ('3 no pages', 'success', 0, first_at), ('4 newest versions', 'success', newest, last_at),
+    ('5 all versions again', 'success', (SELECT count(*) FROM ord WHERE updated >= (SELECT max(updated) FROM ord)), last_at)
+  ) AS v(step, status, rows_loaded, cursor_value)
+"""))
+def cursor_roundtrip(spark, folder):
+    """The saved cursor limits the next load, includes its own instant, and only moves after
+    a load that succeeded and brought something."""
+    store = TableStore(prepare(spark), scratch_path(spark, "cursor"))
+    documents = feed.order_documents(spark, folder)
+    for name, rows in (("older", feed.delivered(documents, False)), ("newest", feed.delivered(documents, True))):
+        feed.landed_pages(rows, "orders", PAGE_SIZE).write.json(store.path(f"landing/{name}"))
+    older, newest = (read_pages(spark, store.path(f"landing/{name}")) for name in ("older", "newest"))
+    lost = older.withColumn("body", F.raise_error(F.lit("page lost")).cast("string"))
+    state, job, steps = CursorTable(store), IngestJob("order"), []
+    for step, pages in (
+        ("1 older versions", older),
+        ("2 lost page", lost),
+        ("3 no pages", older.where("false")),
+        ("4 newest versions", newest),
+        ("5 all versions again", older.union(newest)),
+    ):
+        result = ingest(pages, job, store, state, NOW)
+        steps.append((step, result.status, result.rows_loaded, str(state.get(job.name))))
+    return spark.createDataFrame(steps, "step string, status string, rows_loaded bigint, cursor_value string")
+
+
+@query(with_ctes((CUST_VERSION,), """
+SELECT 'shop-customers' AS job_name, status, rows_processed, message IS NOT NULL AS has_message FROM (
+  SELECT 'success' AS status, count(*) AS rows_processed, NULL AS message FROM cust_version
+  UNION ALL SELECT 'failed', 0, 'lost')
+"""))
+def run_history(spark, folder):
+    """Every load is recorded, with its rows or the reason why it failed."""
+    pages = read_pages(prepare(spark), landed_customers(spark, folder))
+    lost = pages.withColumn("body", F.raise_error(F.lit("page lost")).cast("string"))
+    store = TableStore(spark, scratch_path(spark, "history"))
+    job, state = IngestJob("customer"), CursorTable(store)
+    for source in (pages, lost):
+        record_run(store, job.name, EARLIER, NOW, ingest(source, job, store, state, NOW))
+    return store.read("job_history").select(
+        "job_name", "status", "rows_processed", F.col("message").isNotNull().alias("has_message")
     )
 
 
+class _Spoiled(StoredTables):
+    """Tables of a warehouse, but some order lines have no price; marts go to a store of their own."""
+
+    def __init__(self, store: TableStore, warehouse: StoredTables):
+        super().__init__(store, warehouse.cfg)
+        self.warehouse = warehouse
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in {model.name for model in STAGING_MODELS}:
+            return super().__getitem__(name)
+        rows = self.warehouse[name]
+        if name == "order_lines":
+            lost = F.col("order_line_id") % 7 == 0
+            rows = rows.withColumn("unit_price", F.when(~lost, F.col("unit_price")))
+        return rows
+
+
+@query(with_ctes(SALES_CHAIN, """
+SELECT status, failed_step, 'fact_sales.net_sales not_null: ' || count(*) AS message, 1 AS steps_run
+FROM (SELECT 'failed' AS status, 'fact_sales' AS failed_step FROM line WHERE order_line_id % 7 = 0)
+GROUP BY status, failed_step
+"""))
+def failed_check_stops(spark, folder):
+    """A check that fails ends the build of the marts: nothing after it is built."""
+    warehouse = open_warehouse(spark, folder)
+    store = TableStore(spark, scratch_path(spark, "spoiled"))
+    stage = run_marts(_Spoiled(store, warehouse), ["fact_sales", "dim_products", "dim_customers"])
+    row = (stage.status, stage.failed_step, stage.error_message, len(stage.results))
+    return spark.createDataFrame([row], "status string, failed_step string, message string, steps_run int")
+
+
+@query(
+    "WITH report AS (" + MODEL_SQL["negative_stock"] + """)
+SELECT row_number() OVER (ORDER BY location_name NULLS FIRST, available_quantity NULLS FIRST, product_title NULLS FIRST,
+                          variant_title NULLS FIRST, sku NULLS FIRST, location_id) AS position,
+       location_name, available_quantity, product_title, variant_title FROM report
+"""
+)
+def display_order(spark, folder):
+    """The place of every row of a report in the order in which it is read."""
+    report = open_warehouse(spark, folder).model("negative_stock_report")
+    placed = with_display_position("negative_stock_report", report, ("sku", "location_id"))
+    return placed.select("position", "location_name", "available_quantity", "product_title", "variant_title")
+
+
 @query(with_ctes((CUST_VERSION,), """
 SELECT CAST(customer_id AS VARCHAR) AS record_id, customer_state,
        strftime(CAST(customer_updated_at AS TIMESTAMP), '%Y-%m-%dT%H:%M:%SZ') AS updated_at FROM cust_version
@@ -354,3 +497,26 @@ def stream_ingest(spark, folder):
         F.get_json_object("payload", "$.state").alias("customer_state"),
         F.get_json_object("payload", "$.updated_at").alias("updated_at"),
     )
+
+
+@query(with_ctes((CUST_VERSION,), """
+SELECT first_load, CAST(customer_id AS VARCHAR) AS record_id, customer_state
+FROM cust_version CROSS JOIN (VALUES ('stream'), ('batch')) AS two(first_load)
+"""))
+def stream_then_batch(spark, folder):
+    """Half of the pages streamed and half loaded as a batch, into one table, in both orders."""
+    every = read_pages(prepare(spark), landed_customers(spark, folder))
+    found = None
+    for first in ("stream", "batch"):
+        store, job = TableStore(spark, scratch_path(spark, f"{first}-first")), IngestJob("customer")
+        every.where("page_no % 2 = 0").write.json(store.path("landing"))
+        for way in (first, "batch" if first == "stream" else "stream"):
+            if way == "stream":
+                stream_pages_to_raw(spark, store.path("landing"), store, job).awaitTermination()
+            else:
+                ingest(every.where("page_no % 2 = 1"), job, store, CursorTable(store), NOW)
+        raw = store.read(job.table).select(
+            F.lit(first).alias("first_load"), "record_id", F.get_json_object("payload", "$.state").alias("customer_state")
+        )
+        found = raw if found is None else found.union(raw)
+    return found

@@ -205,7 +205,7 @@ event AS (
     WHERE l_returnflag = 'R' AND cancelled IS NULL
     UNION ALL
     SELECT {melbourne_date('created')}, CASE WHEN o_orderkey % 50 = 0 THEN o_custkey % 14 END, 0, 0, 0
-    FROM ord WHERE cancelled IS NULL AND o_orderkey % 50 IN (0, 25)
+    FROM ord WHERE cancelled IS NULL AND o_orderkey % 50 IN (0, 25) AND order_id = o_orderkey
   ) AS r LEFT JOIN loc ON r.location_id = loc.location_id
 )"""
 

@@ -152,8 +152,8 @@ def json_array_explode(spark, folder):
 @query(with_ctes((LINES, ORD), """
 SELECT order_id, true AS is_newest, price FROM ord
   JOIN (VALUES (1, '9.95'), (2, '12.50'), (2, 'free')) AS shipping_line(remainder, price)
-    ON o_orderkey % 3 = remainder
-UNION ALL SELECT order_id, true, NULL FROM ord WHERE o_orderkey % 3 = 0
+    ON o_orderkey % 3 = remainder AND order_id = o_orderkey
+UNION ALL SELECT order_id, true, NULL FROM ord WHERE o_orderkey % 3 = 0 OR order_id <> o_orderkey
 UNION ALL SELECT order_id, false, NULL FROM ord WHERE o_orderkey % 5 = 0
 """))
 def json_array_outer(spark, folder):
@@ -170,7 +170,7 @@ def json_array_outer(spark, folder):
 @query(with_ctes((LINES, ORD), """
 SELECT order_id, count(*) AS refund_lines, CAST(sum(units) AS BIGINT) AS refunded_units FROM (
   SELECT ord.order_id, units FROM item JOIN ord ON item.order_id = ord.order_id WHERE l_returnflag = 'R'
-  UNION ALL SELECT order_id, 0 FROM ord WHERE o_orderkey % 50 IN (0, 10, 25)
+  UNION ALL SELECT order_id, 0 FROM ord WHERE o_orderkey % 50 IN (0, 10, 25) AND order_id = o_orderkey
 ) GROUP BY order_id
 """))
 def nested_unnest(spark, folder):
@@ -192,7 +192,7 @@ SELECT first_location, count(*) AS refunds FROM (
   SELECT CASE WHEN l_linenumber % 2 = 1 THEN (l_suppkey + 3) % 16 END AS first_location
   FROM item JOIN ord ON item.order_id = ord.order_id WHERE l_returnflag = 'R'
   UNION ALL SELECT CASE WHEN o_orderkey % 50 = 0 THEN o_custkey % 14 END FROM ord
-            WHERE o_orderkey % 50 IN (0, 10, 25)
+            WHERE o_orderkey % 50 IN (0, 10, 25) AND order_id = o_orderkey
 ) GROUP BY first_location
 """))
 def json_first_element(spark, folder):
@@ -211,6 +211,7 @@ def json_first_element(spark, folder):
 @query("""
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS good_long, CAST(NULL AS BIGINT) AS bad_long,
        CASE WHEN event_id % 3 <> 0 THEN CAST(CAST(value AS DECIMAL(28,2)) AS DOUBLE) END AS amount,
+       '1234567890123456' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') || '.500000000' AS large_amount,
        CASE WHEN event_id % 4 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS seen_at
 FROM events
 """)
@@ -223,6 +224,9 @@ def safe_casts(spark, folder):
             safe_long(F.get_json_object("props", "$.k")).alias("good_long"),
             safe_long(F.col("event_type")).alias("bad_long"),
             safe_money(F.when(i % 3 == 0, F.concat(number, F.lit(" dollars"))).otherwise(number)).alias("amount"),
+            safe_money(
+                F.concat(F.lit("1234567890123456"), F.lpad((i % 10000).cast("string"), 4, "0"), F.lit(".50"))
+            ).cast("string").alias("large_amount"),
             safe_ts(
                 F.when(i % 4 == 0, F.date_format(_utc("ts"), "yyyy")).otherwise(
                     F.date_format(_utc("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")

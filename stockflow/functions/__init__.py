@@ -2,7 +2,6 @@
 
 from stockflow.functions.casts import (
     MONEY,
-    UNITS_FACTOR,
     safe_bool,
     safe_divide,
     safe_long,
@@ -15,7 +14,6 @@ from stockflow.functions.text import extract_first, has_tag, trim_blanks
 
 __all__ = [
     "MONEY",
-    "UNITS_FACTOR",
     "days_before",
     "days_between",
     "extract_first",

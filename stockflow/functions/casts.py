@@ -6,13 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# 13 digits before the point, 9 after. Wider types lose scale when multiplied:
-# (22,9) * (14,0) is exactly (37,9), and one subtraction more is (38,9).
-MONEY = T.DecimalType(22, 9)
-UNITS_FACTOR = T.DecimalType(14, 0)
-# Results are (38,9), but two of those cannot be added without loss: add in (36,9).
-MONEY_SUM = T.DecimalType(36, 9)
-MONEY_TOTAL = T.DecimalType(38, 9)
+# 29 digits before the point, 9 after. Products, sums and differences keep this type
+# (``spark.sql.decimalOperations.allowPrecisionLoss`` is off) and are exact; what does
+# not fit is an error.
+MONEY = T.DecimalType(38, 9)
+_UNITS = T.DecimalType(20, 0)
 
 
 def safe_long(text: Column) -> Column:
@@ -41,9 +39,9 @@ def safe_divide(top: Column, bottom: Column) -> Column:
 
 
 def money_times_units(price: Column, units: Column) -> Column:
-    return price * units.cast(UNITS_FACTOR)
+    return (price * units.cast(_UNITS)).cast(MONEY)
 
 
 def total(amount: Column) -> Column:
     """Sum of money without loss of scale."""
-    return F.sum(amount).cast(MONEY_TOTAL)
+    return F.sum(amount).cast(MONEY)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.config import RetailConfig
+from stockflow.operators.rank import global_rank
 from stockflow.plans import rotation, sales, staging, stock
 from stockflow.sources.tables import LoadResult, TableStore
 
@@ -132,14 +133,21 @@ class StoredTables(Mapping):
         return len(MODELS)
 
 
+def _display_order(name: str) -> list[Column]:
+    return [
+        F.col(column[1:]).desc() if column.startswith("-") else F.col(column).asc() for column in DISPLAY_ORDER[name]
+    ]
+
+
 def in_display_order(name: str, rows: DataFrame) -> DataFrame:
     """Rows of a report sorted for reading; '-' marks a descending column."""
-    return rows.orderBy(
-        *[
-            F.col(column[1:]).desc() if column.startswith("-") else F.col(column).asc()
-            for column in DISPLAY_ORDER[name]
-        ]
-    )
+    return rows.orderBy(*_display_order(name))
+
+
+def with_display_position(name: str, rows: DataFrame, ties: tuple[str, ...]) -> DataFrame:
+    """Rows of a report with ``position``, their place in display order from 1 on; ``ties``
+    are columns that tell apart rows that the order leaves equal."""
+    return global_rank(rows, [*_display_order(name), *[F.col(column).asc() for column in ties]], "position")
 
 
 def stored_layout(model: Model, rows: DataFrame) -> DataFrame:

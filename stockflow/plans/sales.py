@@ -10,8 +10,7 @@ from stockflow import schemas
 from stockflow.config import RetailConfig
 from stockflow.functions import local_date, safe_long, safe_money, safe_ts
 from stockflow.functions.casts import (
-    MONEY_SUM,
-    MONEY_TOTAL,
+    MONEY,
     money_times_units,
     total,
 )
@@ -46,7 +45,7 @@ def fact_sales(t: Tables, cfg: RetailConfig) -> DataFrame:
         "ol.quantity",
         "ol.unit_price",
         "ol.total_discount",
-        net_sales.cast(MONEY_TOTAL).alias("net_sales"),
+        net_sales.alias("net_sales"),
         "o.financial_status",
         "o.fulfillment_status",
         "o.currency",
@@ -108,7 +107,7 @@ def dim_products(t: Tables, cfg: RetailConfig) -> DataFrame:
             *attributes,
             F.coalesce("orders", F.lit(0)).alias("orders"),
             F.coalesce("units_sold", F.lit(0)).alias("units_sold"),
-            F.coalesce("lifetime_sales", F.lit(0).cast(MONEY_TOTAL)).alias("lifetime_sales"),
+            F.coalesce("lifetime_sales", F.lit(0).cast(MONEY)).alias("lifetime_sales"),
             "first_sale_at",
             "last_sale_at",
             F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
@@ -185,7 +184,7 @@ def dim_customers(t: Tables, cfg: RetailConfig) -> DataFrame:
             ],
             F.coalesce("warehouse_orders_count", F.lit(0)).alias("warehouse_orders_count"),
             F.coalesce("lifetime_units_sold", F.lit(0)).alias("lifetime_units_sold"),
-            F.coalesce("lifetime_net_sales", F.lit(0).cast(MONEY_TOTAL)).alias("lifetime_net_sales"),
+            F.coalesce("lifetime_net_sales", F.lit(0).cast(MONEY)).alias("lifetime_net_sales"),
             "first_order_at",
             "last_order_at",
             modelled_at(cfg),
@@ -200,7 +199,7 @@ _COUNTS = ["order_count", "returned_units"]
 
 
 def _zero() -> Column:
-    return F.lit(0).cast(MONEY_TOTAL)
+    return F.lit(0).cast(MONEY)
 
 
 def _shipping(lines: Column) -> Column:
@@ -213,8 +212,8 @@ def _shipping(lines: Column) -> Column:
             safe_money(fields["discounted_price"]), safe_money(fields["price"]), F.lit(0)
         )
 
-    nothing = F.lit(0).cast(MONEY_SUM)
-    added = F.aggregate(lines, nothing, lambda so_far, line: (so_far + amount(line)).cast(MONEY_SUM))
+    nothing = F.lit(0).cast(MONEY)
+    added = F.aggregate(lines, nothing, lambda so_far, line: (so_far + amount(line)).cast(MONEY))
     return F.coalesce(added, nothing)
 
 
@@ -327,7 +326,7 @@ def fact_daily_sales(t: Tables, cfg: RetailConfig) -> DataFrame:
     )
     by_id = places.withColumnRenamed("location_id", "known_id")
     is_order, zero = F.col("is_order"), _zero()
-    refunded, refunded_tax = F.col("refunded").cast(MONEY_SUM), F.col("refunded_tax").cast(MONEY_SUM)
+    refunded, refunded_tax = F.col("refunded"), F.col("refunded_tax")
 
     def either(of_order: Column, of_refund: Column) -> Column:
         return F.when(is_order, of_order).otherwise(of_refund)
@@ -350,7 +349,7 @@ def fact_daily_sales(t: Tables, cfg: RetailConfig) -> DataFrame:
             either(zero, F.col("refunded")).alias("returns"),
             either(F.col("shipping_sales"), zero).alias("shipping_sales"),
             either(F.col("order_taxes"), -F.col("refunded_tax")).alias("taxes"),
-            either(F.col("order_total"), (-refunded - refunded_tax).cast(MONEY_TOTAL)).alias("total_sales"),
+            either(F.col("order_total"), -refunded - refunded_tax).alias("total_sales"),
             "order_count",
             either(F.lit(0), F.col("returned_units")).alias("returned_units"),
         )

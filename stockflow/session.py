@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,6 +12,8 @@ RUNTIME_SETTINGS = {
     # every timestamp is a UTC instant; local dates name their zone
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # money keeps its nine decimals; a sum that does not fit is an error
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
     # measured sizes decide on broadcast joins, partition numbers and skew
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,7 +24,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
-_own_roots: dict[str, str] = {}
+_roots: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -50,23 +52,32 @@ def build_session(
     return prepare(spark)
 
 
+def use_shared_root(spark: SparkSession, path: str) -> None:
+    """Name the shared folder of a session that has no ``spark.checkpoint.dir``: for tests
+    and single machines."""
+    _roots[spark.sparkContext.applicationId] = path.rstrip("/")
+
+
+def has_shared_root(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None)) or spark.sparkContext.applicationId in _roots
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach, where intermediate tables are written.
-
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder all executors can reach, where intermediate tables are written: the one
+    the session names in ``spark.checkpoint.dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _roots.get(spark.sparkContext.applicationId)
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _own_roots:
-        _own_roots[context.applicationId] = tempfile.mkdtemp(prefix="stockflow-")
-    return _own_roots[context.applicationId]
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for one intermediate table."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession, label: str) -> list[str]:
+    """The paths with a label that this session was given so far."""
+    return [path for path in _scratch.get(spark.sparkContext.applicationId, []) if f"/{label}-" in path]

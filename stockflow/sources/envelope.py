@@ -31,19 +31,54 @@ def to_envelope(
     ).where(F.col("record_id").isNotNull())
 
 
-def normalise_phones(item: Column) -> Column:
-    """Numbers under a key "phone", at any depth, become strings; a customer without
-    that key gets it as null. All other fields are left as they are.
+def phones_as_text(item: Column) -> Column:
+    """Numbers under a key "phone", at any depth, become strings.
 
     Inside a JSON string quotes are escaped, so only real keys can match.
     """
-    as_text = F.regexp_replace(
-        item, r'"phone"\s*:\s*(-?\d[\d.eE+-]*)', r'"phone":"$1"'
-    )
-    keys = F.json_object_keys(as_text)
+    return F.regexp_replace(item, r'"phone"\s*:\s*(-?\d[\d.eE+-]*)', r'"phone":"$1"')
+
+
+def _with_phone(item: Column) -> Column:
+    """An object's text, with a null "phone" if it has no such key; other values as they are."""
+    keys = F.json_object_keys(item)
     opened = F.when(F.size(keys) == 0, F.lit('{"phone":null')).otherwise(F.lit('{"phone":null,'))
-    with_key = F.concat(opened, F.regexp_replace(as_text, r"^\s*\{", ""))
-    return F.when(F.array_contains(keys, "phone") | keys.isNull(), as_text).otherwise(with_key)
+    with_key = F.concat(opened, F.regexp_replace(item, r"^\s*\{", ""))
+    return F.when(F.array_contains(keys, "phone") | keys.isNull(), item).otherwise(with_key)
+
+
+def _replaced_field(item: Column, field: str, old: Column, new: Column) -> Column:
+    """Put ``new`` in the place of the value ``old`` of a field, both as compact JSON."""
+    compact = F.to_json(F.try_parse_json(item))
+    key = F.lit(f'"{field}":')
+    return F.when(old == new, item).otherwise(F.replace(compact, F.concat(key, old), F.concat(key, new)))
+
+
+def customer_phones(item: Column) -> Column:
+    """A customer, its default address and its addresses have a "phone", null if unknown."""
+
+    def value(of: Column, path: str, kind: str) -> Column:
+        return F.try_variant_get(F.try_parse_json(of), path, kind)
+
+    address = F.to_json(value(item, "$.default_address", "variant"))
+    with_default = F.coalesce(_replaced_field(item, "default_address", address, _with_phone(address)), item)
+    several = value(with_default, "$.addresses", "array<variant>")
+    texts = F.transform(several, lambda one: F.to_json(one))
+    changed = F.transform(texts, _with_phone)
+
+    def joined(parts: Column) -> Column:
+        return F.concat(F.lit("["), F.array_join(parts, ",", "null"), F.lit("]"))
+
+    with_addresses = F.coalesce(
+        _replaced_field(with_default, "addresses", joined(texts), joined(changed)), with_default
+    )
+    return _with_phone(with_addresses)
+
+
+def normalise_phones(item: Column, entity: str = "customer") -> Column:
+    """Phones as text for every entity; a customer also gets the phones it lacks as null."""
+    as_text = phones_as_text(item)
+    return customer_phones(as_text) if entity == "customer" else as_text
 
 
 def payload_cursor(payload: Column) -> Column:
@@ -51,10 +86,12 @@ def payload_cursor(payload: Column) -> Column:
 
 
 def updated_since(items: DataFrame, cursor: datetime | None) -> DataFrame:
-    """Items changed at or after the cursor; all items without one."""
+    """Items changed at or after the cursor, and those that do not say when; staging keeps
+    one of a record that comes again. All items without a cursor."""
     if cursor is None:
         return items
-    return items.where(payload_cursor(F.col("item")) >= instant(cursor))
+    changed = payload_cursor(F.col("item"))
+    return items.where(changed.isNull() | (changed >= instant(cursor)))
 
 
 def latest_cursor(rows: DataFrame) -> DataFrame:

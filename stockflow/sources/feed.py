@@ -42,11 +42,23 @@ LOCATION_NAMES = (
 )
 SALES_NAMES = tuple(sales for sales, _ in SALES_LOCATION_NAMES)
 
-# An order document holds its lines as an array. Lines of an order with more than
-# this many are spread over several documents, so no group is collected unbounded.
-LINES_TO_SPLIT_AT = 1000
-LINES_PER_SPLIT = 250
-SPLIT_ID_STEP = 10_000_000_000
+# A document holds each line number of an order once; lines that share one are put on
+# further documents, whose ids are this far apart.
+REPEAT_ID_STEP = 1_000_000_000_000
+# tells all lines of an order apart that differ at all
+LINE_ORDER = (
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
 
 FEED_CONFIG = RetailConfig(as_of=AS_OF, sock_pattern=r"\brings?\b")
 
@@ -85,7 +97,8 @@ def _extracted(version: Column) -> Column:
 
 def _raw(documents: DataFrame, entity: str, id_paths=("id",)) -> DataFrame:
     """Documents with columns ``item`` and ``version`` as raw rows."""
-    return to_envelope(documents, SOURCE, entity, id_paths, _extracted(F.col("version")))
+    as_text = documents.withColumn("item", normalise_phones(_col("item"), entity))
+    return to_envelope(as_text, SOURCE, entity, id_paths, _extracted(F.col("version")))
 
 
 def _price(amount: Column) -> Column:
@@ -104,6 +117,7 @@ def location_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(
             key.alias("id"),
             F.coalesce(_pick(LOCATION_NAMES, key), _col("n_name")).alias("name"),
+            (key + 61_390_000_000).alias("phone"),
             _text(key, " High Street").alias("address1"),
             F.when(key % 3 == 0, _text("Level ", key)).alias("address2"),
             _col("n_name").alias("city"),
@@ -234,7 +248,8 @@ def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.substring("c_mktsegment", 1, 3).alias("province_code"),
         _text("City ", key % 100).alias("city"),
         F.lpad((key % 10000).cast("string"), 4, "0").alias("zip"),
-        (key + 61_400_000_000).alias("phone"),
+        # no such key for every sixteenth customer
+        F.when(key % 16 != 1, key + 61_400_000_000).alias("phone"),
     )
     item = F.to_json(
         F.struct(
@@ -267,24 +282,19 @@ def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
 # -- orders --------------------------------------------------------------------
 
 
-def split_lines(spark: SparkSession, folder: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with ``order_id`` of their document.
 
-    That is the order key, unless the order has so many lines that they are spread
-    over several documents. Few orders can be that large: at most one per
-    LINES_TO_SPLIT_AT rows.
+    Lines with the same order and line number are counted from 0 in a total order, and
+    line n goes to document n of its order. So a document holds as many lines as there
+    are line numbers at most, and no line is left out. The count comes from the position
+    in the whole table, so a pair with very many lines is not gathered anywhere.
     """
     lines = flat_table(spark, folder, "lineitem")
-    large = (
-        lines.groupBy(_col("l_orderkey").alias("large_key"))
-        .agg(F.count(F.lit(1)).alias("line_count"))
-        .where(_col("line_count") > LINES_TO_SPLIT_AT)
-    )
-    share = F.expr(
-        f"(l_partkey * 31 + l_suppkey * 17 + l_linenumber) % (line_count div {LINES_PER_SPLIT})"
-    )
-    return lines.join(large, _col("l_orderkey") == _col("large_key"), "left").withColumn(
-        "order_id", _col("l_orderkey") + F.coalesce(share, F.lit(0)) * SPLIT_ID_STEP
+    ranked = global_rank(lines, [_col(name).asc() for name in LINE_ORDER], "position")
+    first = ranked.groupBy("l_orderkey", "l_linenumber").agg(F.min("position").alias("first"))
+    return ranked.join(first, ["l_orderkey", "l_linenumber"]).withColumn(
+        "order_id", _col("l_orderkey") + (_col("position") - _col("first")) * REPEAT_ID_STEP
     )
 
 
@@ -345,7 +355,7 @@ def _line_columns(lines: DataFrame) -> DataFrame:
 
 
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _line_columns(split_lines(spark, folder))
+    lines = _line_columns(numbered_lines(spark, folder))
     line_groups = lines.groupBy("l_orderkey", "order_id").agg(
         F.sum(_col("gross") - _col("discount")).alias("subtotal"),
         F.sum("discount").alias("discounts"),
@@ -362,6 +372,8 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("created", created)
     )
     newest = _col("version") == 1
+    # shipping, and refunds without lines, are on the first document of an order only
+    first = F.coalesce(_col("order_id"), key) == key
     place = F.when(customer % 97 == 5, F.lit("Popup")).otherwise(_pick(SALES_NAMES, customer % 12))
     tags = F.when(customer % 13 == 0, F.lit("web")).otherwise(_text("vip, Location ", place, ", web"))
     email = F.when(customer % 17 != 0, F.when(key % 2 == 0, _text("cust", customer, "@example.com")).otherwise(
@@ -387,7 +399,7 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 50 == 0, F.array(F.struct((customer % 14).alias("location_id")))).alias("transactions"),
     )
     refunds = F.when(
-        (key % 50).isin(0, 10, 25), F.concat(F.coalesce("line_refunds", F.array()), F.array(bare_refund))
+        (key % 50).isin(0, 10, 25) & first, F.concat(F.coalesce("line_refunds", F.array()), F.array(bare_refund))
     ).otherwise(_col("line_refunds"))
     document = F.to_json(
         F.struct(
@@ -402,14 +414,21 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
             amount(_col("discounts")).alias("total_discounts"),
             F.lit("AUD").alias("currency"),
             tags.alias("tags"),
+            F.when(key % 3 == 0, key + 61_700_000_000).alias("phone"),
+            F.struct((customer + 61_800_000_000).alias("phone")).alias("billing_address"),
             # every second order states its time in another zone
             F.when(key % 2 == 0, _iso(_col("created")))
             .otherwise(_text(F.date_format(_col("created") + F.expr("interval 10 hours"), "yyyy-MM-dd'T'HH:mm:ss"), "+10:00"))
             .alias("created_at"),
-            _iso(_col("created") + F.make_dt_interval(days=F.when(newest, (key % 5).cast("int") + 1).otherwise(F.lit(0)))).alias("updated_at"),
+            # an order changes when it is made, and again after all orders were made
+            _iso(
+                F.when(newest, F.lit(AS_OF).cast("timestamp") + F.make_dt_interval(days=(key % 5).cast("int"))).otherwise(
+                    _col("created")
+                )
+            ).alias("updated_at"),
             F.when((_col("o_orderstatus") == "F") & (key % 7 == 0), _iso(_col("created") + F.expr("interval 1 day"))).alias("cancelled_at"),
             F.when(newest, F.coalesce(_col("lines"), F.array())).alias("line_items"),
-            F.when(newest, shipping).alias("shipping_lines"),
+            F.when(newest & first, shipping).alias("shipping_lines"),
             F.when(newest, refunds).alias("refunds"),
         )
     )
@@ -432,8 +451,7 @@ def raw_inventory_levels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    documents = customer_documents(spark, folder)
-    return _raw(documents.withColumn("item", normalise_phones(_col("item"))), "customer")
+    return _raw(customer_documents(spark, folder), "customer")
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -461,8 +479,9 @@ PAGED_DOCUMENTS = {
 }
 
 
-def newest_only(documents: DataFrame) -> DataFrame:
-    return documents.where(_col("version") == 1)
+def delivered(documents: DataFrame, newest: bool) -> DataFrame:
+    """The older versions, which came first, or the newest ones."""
+    return documents.where(_col("version") == (1 if newest else 0))
 
 
 def landed_pages(documents: DataFrame, field: str, page_size: int) -> DataFrame:

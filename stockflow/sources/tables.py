@@ -1,4 +1,10 @@
-"""Parquet tables under one root folder, and the outcome of a load."""
+"""Parquet tables under one root folder, and the outcome of a load.
+
+A table that is only appended to is a folder of that name. A replace writes a folder of its
+own and then appends one row to the table's list of versions, which is a single commit: the
+row with the highest number says where the table is. So a replace that fails at any point
+leaves the old table, and a reader that began on an older version can finish.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockflow.sources.files import delete_folder, folder_exists, folders_in
+
 SUCCESS = "success"
 FAILED = "failed"
 # load disposition -> save mode
@@ -31,6 +39,10 @@ class LoadResult:
         return self.status == SUCCESS
 
 
+VERSIONS = T.StructType([T.StructField("number", T.LongType()), T.StructField("folder", T.StringType())])
+_LIST, _VERSION = ".versions", ".v-"
+
+
 @dataclass(frozen=True)
 class TableStore:
     """Named tables in ``root``, a folder all executors can reach."""
@@ -41,13 +53,25 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _newest(self, name: str) -> tuple[int, str]:
+        """Number and folder of the version that counts; 0 and the plain folder before any replace."""
+        if not folder_exists(self.path(name + _LIST)):
+            return 0, name
+        versions = self.spark.read.schema(VERSIONS).parquet(self.path(name + _LIST))
+        return versions.agg(F.max(F.struct("number", "folder")).alias("last")).first()["last"] or (0, name)
+
+    def location(self, name: str) -> str:
+        """Where the table is now."""
+        return self.path(self._newest(name)[1])
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.location(name))
 
     def read_or_create(self, name: str, schema: T.StructType) -> DataFrame:
         """The table; an empty one is written first if there is none."""
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        place = self.location(name)
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(place)
+        return self.spark.read.schema(schema).parquet(place)
 
     def load(
         self,
@@ -65,28 +89,40 @@ class TableStore:
         if track is not None:
             # without zone: Python would otherwise turn it into the driver's local time
             measures.append(F.max(track.cast("timestamp_ntz")).alias("latest"))
-        target, mode = self.path(name), DISPOSITIONS[disposition]
-        # an overwrite first deletes what is there, so it goes to a folder of its own
-        written = f"{target}.new-{uuid.uuid4().hex}" if mode == "overwrite" else target
+        mode = DISPOSITIONS[disposition]
         try:
-            rows.observe(seen, *measures).write.mode(mode).parquet(written)
-            found = seen.get
-            if written != target:
-                self._move(written, target)
+            number, folder = self._newest(name)
+            if mode == "overwrite":
+                folder, mode = f"{name}{_VERSION}{uuid.uuid4().hex}", "error"
+                rows.observe(seen, *measures).write.mode(mode).parquet(self.path(folder))
+                found = seen.get
+                self._switch(name, number + 1, folder)
+            else:
+                rows.observe(seen, *measures).write.mode(mode).parquet(self.path(folder))
+                found = seen.get
         except Exception as error:
             return LoadResult(name, FAILED, 0, str(error))
         return LoadResult(name, SUCCESS, found["rows"], latest=found.get("latest"))
 
-    def _move(self, source: str, target: str) -> None:
-        """Put a finished table in the place of the old one."""
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path
-        files = path(target).getFileSystem(context._jsc.hadoopConfiguration())
-        files.delete(path(target), True)
-        if not files.rename(path(source), path(target)):
-            raise OSError(f"cannot move {source} to {target}")
+    def _switch(self, name: str, number: int, folder: str) -> None:
+        """Make a finished version the one that counts."""
+        row = self.spark.createDataFrame([(number, folder)], VERSIONS)
+        row.coalesce(1).write.mode("append").parquet(self.path(name + _LIST))
 
     def replace(self, name: str, rows: DataFrame) -> LoadResult:
         """Full refresh: the table holds exactly ``rows`` afterwards, or, if that fails,
         what it held before."""
         return self.load(name, rows, "truncate")
+
+    def remove_superseded(self, name: str, keep: int = 2) -> None:
+        """Delete all but the newest versions of a table, and what failed replaces left.
+
+        The version before the current one stays by default, for readers that began on it.
+        """
+        if self._newest(name)[0] == 0:
+            return
+        versions = self.spark.read.schema(VERSIONS).parquet(self.path(name + _LIST))
+        kept = {row["folder"] for row in versions.orderBy(F.col("number").desc()).limit(keep).collect()}
+        for folder in folders_in(self.root):
+            if folder.startswith(name + _VERSION) and folder not in kept:
+                delete_folder(self.path(folder))

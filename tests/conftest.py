@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         "stockflow-tests",
@@ -21,6 +21,7 @@ def spark():
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     yield session

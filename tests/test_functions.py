@@ -44,6 +44,14 @@ def test_money_arithmetic_loses_no_scale(spark):
     assert df.select(total(net).alias("s")).first().s == Decimal("999999999999.370370366")
 
 
+def test_money_has_29_digits_before_the_point(spark):
+    found = evaluate(spark, safe_money, ["99999999999999.50", "12345678901234567890123456789.5", "1e30"])
+    assert found == [Decimal("99999999999999.500000000"), Decimal("12345678901234567890123456789.500000000"), None]
+    df = spark.createDataFrame([("1234567890123456.25", 4_000_000_000)], "p string, q bigint")
+    net = money_times_units(safe_money(F.col("p")), F.col("q"))
+    assert df.select(total(net).alias("s")).first().s == Decimal("4938271560493825000000000.000000000")
+
+
 def test_safe_bool_takes_only_two_words(spark):
     found = evaluate(spark, safe_bool, ["true", "FALSE", "yes", "1", "t", "", None])
     assert found == [True, False, None, None, None, None, None]

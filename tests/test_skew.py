@@ -77,8 +77,11 @@ def test_results_under_skew(spark, skewed, connection, name):
 
 
 def test_lines_of_a_huge_order_are_spread(spark, skewed):
-    per_document = feed.split_lines(spark, skewed).groupBy("order_id").count()
-    total = spark.read.parquet(f"{skewed}/lineitem.parquet").count()
-    most, lines = per_document.agg(F.max("count"), F.sum("count")).first()
-    assert lines == total
-    assert most <= feed.LINES_TO_SPLIT_AT < total / 3
+    lines = feed.numbered_lines(spark, skewed)
+    per_document = lines.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("l_linenumber").alias("numbers")
+    )
+    assert per_document.agg(F.sum("lines")).first()[0] == spark.read.parquet(f"{skewed}/lineitem.parquet").count()
+    assert per_document.where("lines <> numbers").count() == 0
+    # document n of an order has at least the line numbers of document n + 1
+    assert lines.where("l_orderkey = 4").select("order_id").distinct().count() > 100
