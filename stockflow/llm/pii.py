@@ -20,6 +20,7 @@ the end exclusive; repeated rows each give a row; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -104,34 +105,73 @@ def _valid(kind: str, match: Column) -> Column:
 
 
 SPAN = "struct<kind:string,start:int,end:int,score:int>"
+# matches, or spans, that are gone through one after the other; appending to an array or a
+# text copies it, so what is appended to stays this short
+BLOCK = 256
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _by_blocks(
+    items: Column, measure: Callable[[Column], Column], merge: Callable, run: Callable[[Column, Column], Column]
+) -> Column:
+    """An array of what ``run`` makes of each BLOCK of items, given the position at its start:
+    0, merged with the measures of all blocks before."""
+
+    def blocks(bound: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(bound) - 1) / BLOCK).cast("int"))
+        parts = F.transform(numbers, lambda n: F.slice(bound, n * BLOCK + 1, F.lit(BLOCK)))
+        sizes = F.transform(parts, measure)
+        starts = F.aggregate(
+            sizes,
+            F.array(F.lit(0)),
+            lambda found, size: F.concat(found, F.array(merge(F.element_at(found, -1), size))),
+        )
+        # the last start is the end of everything, and has no part
+        pairs = F.arrays_zip(parts.alias("part"), F.slice(starts, F.lit(1), F.size(parts)).alias("start"))
+        return F.transform(pairs, lambda z: run(z["part"], z["start"]))
+
+    return _bound(items, blocks)
 
 
 def _spans_of(kind: Kind, text: Column) -> Column:
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    pairs = F.arrays_zip(
-        F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(matches)).alias("before"), matches.alias("match")
-    )
-    started = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("found"))
+    none = F.array().cast(f"array<{SPAN}>")
 
     def take(state: Column, pair: Column) -> Column:
         start = state["pos"] + F.length(pair["before"])
         end = start + F.length(pair["match"])
-        from_ = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-        near = F.lower(F.substring(text, from_ + 1, start - from_))
-        score = F.lit(kind.score) + F.when(near.rlike(kind.context), CONTEXT_SCORE).otherwise(0)
+        # the text just before is carried along: finding a place in a text takes its length
+        near = F.right(F.concat(state["near"], pair["before"]), F.lit(CONTEXT_CHARS))
+        score = F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), CONTEXT_SCORE).otherwise(0)
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         accepted = _valid(kind.name, pair["match"])
         if not kind.base:
             accepted = accepted & (score >= THRESHOLD)
-        # only accepted matches are gathered: the rest just moves the position on
         return F.struct(
             end.alias("pos"),
+            F.right(F.concat(near, pair["match"]), F.lit(CONTEXT_CHARS)).alias("near"),
             F.when(accepted, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
         )
 
-    return F.when(
-        F.size(matches) > 0, F.aggregate(pairs, started, take, lambda state: state["found"])
-    ).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def in_block(part: Column, start: Column) -> Column:
+        from_ = F.greatest(start - CONTEXT_CHARS, F.lit(0))
+        near = F.substring(text, from_ + 1, start - from_)
+        state = F.struct(start.alias("pos"), near.alias("near"), none.alias("found"))
+        return F.aggregate(part, state, take, lambda state: state["found"])
+
+    def length(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda n, pair: n + F.length(pair["before"]) + F.length(pair["match"]))
+
+    def located(found: Column) -> Column:
+        before = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
+        pairs = F.arrays_zip(before.alias("before"), found.alias("match"))
+        return F.flatten(_by_blocks(pairs, length, lambda a, b: a + b, in_block))
+
+    return _bound(matches, lambda found: F.when(F.size(found) > 0, located(found)).otherwise(none))
 
 
 def spans(text: Column) -> Column:
@@ -162,22 +202,31 @@ def redacted(text: Column, found: Column) -> Column:
     in_order = F.array_sort(
         F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    started = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-
-    def put(state: Column, s: Column) -> Column:
-        between = F.substring(text, state["pos"] + 1, s["start"] - state["pos"])
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(state["pos"], s["end"]).alias("pos"),
-            F.when(s["start"] >= state["pos"], F.concat(state["out"], between, mark)).otherwise(state["out"]).alias("out"),
-        )
 
-    return F.aggregate(
-        in_order,
-        started,
-        put,
-        lambda state: F.concat(state["out"], F.substring(text, state["pos"] + 1, F.length(text))),
-    )
+    def in_block(part: Column, start: Column) -> Column:
+        # the block's own stretch of text, so that places in it are found fast
+        return _bound(F.substring(text, start + 1, last_end(part) - start), lambda own: put_all(part, start, own))
+
+    def put_all(part: Column, start: Column, own: Column) -> Column:
+        def put(state: Column, s: Column) -> Column:
+            between = F.substring(own, state["pos"] - start + 1, s["start"] - state["pos"])
+            mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.struct(
+                F.greatest(state["pos"], s["end"]).alias("pos"),
+                F.when(s["start"] >= state["pos"], F.concat(state["out"], between, mark))
+                .otherwise(state["out"])
+                .alias("out"),
+            )
+
+        state = F.struct(start.alias("pos"), F.lit("").alias("out"))
+        return F.aggregate(part, state, put, lambda state: state["out"])
+
+    def last_end(part: Column) -> Column:
+        return F.array_max(F.transform(part, lambda s: s["end"]))
+
+    pieces = _by_blocks(in_order, last_end, lambda a, b: F.greatest(a, b), in_block)
+    rest = F.substring(text, F.array_max(F.transform(found, lambda s: s["end"])) + 1, F.length(text))
+    return F.concat(F.array_join(pieces, ""), rest)
 
 
 def redact(docs: DataFrame) -> DataFrame:
