@@ -2,7 +2,7 @@
 
 from stockflow.operators.arrays import explode_json_array
 from stockflow.operators.latest import latest_by
-from stockflow.operators.pairs import lane_group, pair_candidates
+from stockflow.operators.pairs import lane_group, pair_within
 from stockflow.operators.pivot import pivot_fixed
 from stockflow.operators.quality import check_not_null, check_unique
 from stockflow.operators.rank import global_rank
@@ -17,7 +17,7 @@ __all__ = [
     "global_rank",
     "lane_group",
     "latest_by",
-    "pair_candidates",
+    "pair_within",
     "pivot_fixed",
     "unique_winner",
     "upsert",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.config import OPEN, Lane
@@ -38,42 +38,28 @@ def _lanes_of(group: Column, lanes: tuple[Lane, ...]) -> Column:
     return chain
 
 
-def pair_candidates(
-    senders: DataFrame,
-    receivers: DataFrame,
-    on: str,
-    lanes: tuple[Lane, ...],
-    rules: list[Column],
+def pair_within(
+    rows: DataFrame, on: str, sends: Column, receives: Column, lanes: tuple[Lane, ...], rules: list[Column]
 ) -> DataFrame:
-    """Join senders (alias ``s``) to receivers (alias ``r``) at another location.
-
-    Both sides need ``on``, ``location_id`` and ``location_name``. A sender is
-    repeated once per lane it may use (a handful, fixed by the settings) and joined
-    on item *and* lane, so pairs on closed lanes are never formed; ``rules`` are
-    conditions of the join. Both sides are partitioned by the item alone, which the
-    session settings let the join make do with: the windows per item that follow
-    need no further shuffle.
+    """Pair the rows of an item that send with those that receive, from one table.
+
+    One shuffle by the item serves both sides: a window gathers the receivers of an item,
+    and its senders are unfolded over them along the lanes. For items whose rows are bounded,
+    such as the stock levels of a variant by the number of locations. The result has ``on``,
+    by which it is still partitioned, and the two rows as structs ``s`` and ``r``.
     """
-    outgoing = (
-        senders.withColumn(_LANE, F.explode(_lanes_of(lane_group(F.col("location_name"), lanes), lanes)))
-        .withColumn("lane_to", F.col(f"{_LANE}.to_group"))
-        .repartition(on)
-        .alias("s")
-    )
-    incoming = (
-        receivers.withColumn("lane_to", lane_group(F.col("location_name"), lanes))
-        .where(F.col("lane_to").isNotNull())
-        .repartition(on)
-        .alias("r")
-    )
-    condition = (
-        (F.col(f"r.{on}") == F.col(f"s.{on}"))
-        & (F.col("r.lane_to") == F.col("s.lane_to"))
-        & (F.col("r.location_id") != F.col("s.location_id"))
+    every = F.struct(*rows.columns)
+    gathered = F.collect_list(F.when(receives, every)).over(Window.partitionBy(on))
+    outgoing = rows.where(F.col(on).isNotNull()).withColumn("__receivers", gathered).where(sends)
+    unfolded = outgoing.withColumn(
+        _LANE, F.explode(_lanes_of(lane_group(F.col("location_name"), lanes), lanes))
+    ).select(on, F.struct(*rows.columns, _LANE).alias("s"), F.explode("__receivers").alias("r"))
+    condition = (lane_group(F.col("r.location_name"), lanes) == F.col(f"s.{_LANE}.to_group")) & (
+        F.col("r.location_id") != F.col("s.location_id")
     )
     for rule in rules:
         condition = condition & rule
-    return incoming.join(outgoing, condition, "inner")
+    return unfolded.where(condition)
 
 
 def lane_condition(field: str) -> Column:

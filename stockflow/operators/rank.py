@@ -19,7 +19,9 @@ def global_rank(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     Rows are range partitioned and sorted, numbered inside their partition, and
     written once to the shared folder: range bounds come from a sample, so the two
     reads below must see the same partitions, also after the loss of an executor.
-    The only row set broadcast is one row per range partition.
+    The only row set broadcast is one row per range partition. The write is a job of its
+    own that runs when this is called, not when the result is read; a refresh removes the
+    copies of its ranks at its end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "rank")

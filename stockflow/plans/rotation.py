@@ -18,7 +18,7 @@ from stockflow.config import (
     RetailConfig,
 )
 from stockflow.functions.text import fill, matches
-from stockflow.operators import global_rank, pair_candidates, pivot_fixed, unique_winner
+from stockflow.operators import global_rank, pair_within, pivot_fixed, unique_winner
 from stockflow.operators.pairs import lane_condition
 from stockflow.operators.pivot import pick_by_name
 from stockflow.plans.sales import modelled_at
@@ -82,51 +82,34 @@ def store_rotation_candidates(t: Tables, cfg: RetailConfig) -> DataFrame:
     A variant has at most one row per stock level, so its pairs are bounded by the
     number of locations, and only pairs on permitted lanes are formed at all.
     """
-    empty_warehouse = t["variant_location_demand"].where(F.col("warehouse_available_quantity") <= 0)
-    locations, products = t["store_rotation_locations"], _season_products(t)
-    can_receive = locations.where("can_receive_rotations").select("location_id", "rotation_priority")
-    can_send = locations.where("can_send_rotations").select("location_id")
-
-    receivers = (
-        empty_warehouse.where(F.col("available_quantity") < 2)
-        .select(
-            "variant_id",
-            "product_id",
-            "product_title",
-            "variant_title",
-            "sku",
-            "product_type",
-            "inventory_item_id",
-            "location_id",
-            "location_name",
-            "available_quantity",
-            "style_units_sold_12_weeks",
-            "style_demand_score",
-            "warehouse_available_quantity",
-        )
-        .join(can_receive, "location_id")
-        .join(products, "product_id")
-        .withColumn("denim_or_classics", _denim_or_classics("product_type", "is_classics"))
+    levels = t["variant_location_demand"].where(F.col("warehouse_available_quantity") <= 0).select(
+        "variant_id",
+        "product_id",
+        "product_title",
+        "variant_title",
+        "sku",
+        "product_type",
+        "inventory_item_id",
+        "location_id",
+        "location_name",
+        "available_quantity",
+        "style_units_sold_12_weeks",
+        "style_demand_score",
+        "warehouse_available_quantity",
     )
-    senders = (
-        empty_warehouse.where(F.col("available_quantity") > 0)
-        .select(
-            "variant_id",
-            "product_id",
-            "inventory_item_id",
-            "location_id",
-            "location_name",
-            "available_quantity",
-            "style_units_sold_12_weeks",
-            "style_demand_score",
-        )
-        .join(can_send, "location_id")
-        .join(products.select("product_id"), "product_id", "left_semi")
+    locations = t["store_rotation_locations"].select(
+        "location_id", "rotation_priority", "can_receive_rotations", "can_send_rotations"
+    )
+    base = (
+        levels.join(locations, "location_id")
+        .join(_season_products(t), "product_id")
+        .withColumn("denim_or_classics", _denim_or_classics("product_type", "is_classics"))
     )
-    pairs = pair_candidates(
-        senders,
-        receivers,
+    pairs = pair_within(
+        base,
         "variant_id",
+        F.col("can_send_rotations") & (F.col("available_quantity") > 0),
+        F.col("can_receive_rotations") & (F.col("available_quantity") < 2),
         cfg.rotation_lanes,
         [
             F.col("s.available_quantity") >= lane_condition("least_units"),
@@ -151,7 +134,7 @@ def store_rotation_candidates(t: Tables, cfg: RetailConfig) -> DataFrame:
         + SCORE_WAREHOUSE_EMPTY
     )
     candidates = pairs.select(
-        "r.variant_id",
+        "variant_id",
         "r.product_id",
         "r.product_title",
         "r.variant_title",
@@ -333,30 +316,9 @@ def style_consolidation_candidates(t: Tables, cfg: RetailConfig) -> DataFrame:
 
     A style with two locations tied for most, or two units to move, gets no move.
     """
-    base = t["variant_location_demand"].join(_season_products(t), "product_id")
-    locations = t["store_rotation_locations"]
-    can_receive = locations.where("can_receive_rotations").select("location_id")
-    can_send = locations.where("can_send_rotations").select("location_id")
-
-    style_stock = base.groupBy("product_id", "location_id", "location_name").agg(
-        F.sum("available_quantity").alias("style_available_quantity")
-    )
-    empty_at_warehouse = (
-        base.where(F.col("location_name") == cfg.warehouse)
-        .groupBy("product_id")
-        .agg(F.sum("available_quantity").alias("warehouse_style_available_quantity"))
-        .where(F.col("warehouse_style_available_quantity") <= 0)
-    )
-    last_unit = (
-        style_stock.where(F.col("style_available_quantity") == 1)
-        .select("product_id", "location_id", "style_available_quantity")
-        .join(empty_at_warehouse, "product_id")
-    )
-    donors = (
-        base.where(
-            (F.col("available_quantity") > 0)
-            & ~F.col("location_name").isin(*cfg.consolidation_never_send)
-        )
+    locations = t["store_rotation_locations"].select("location_id", "can_receive_rotations", "can_send_rotations")
+    base = (
+        t["variant_location_demand"]
         .select(
             "product_id",
             "variant_id",
@@ -365,28 +327,41 @@ def style_consolidation_candidates(t: Tables, cfg: RetailConfig) -> DataFrame:
             "variant_title",
             "sku",
             "product_type",
-            "is_classics",
             "location_id",
             "location_name",
             "available_quantity",
         )
-        # base is partitioned by product already
-        .join(last_unit, ["product_id", "location_id"])
-        .join(can_send, "location_id")
+        .join(locations, "location_id", "left")
+        .join(_season_products(t), "product_id")
         .withColumn("denim_or_classics", _denim_or_classics("product_type", "is_classics"))
     )
-    destinations = style_stock.where(F.col("style_available_quantity") > 1).join(
-        can_receive, "location_id"
+    # all by product: stock of the style at the location and at the warehouse. A product's
+    # rows are bounded by its variants and the locations.
+    of_product = Window.partitionBy("product_id")
+    of_style = Window.partitionBy("product_id", "location_id", "location_name")
+    at_warehouse = F.when(F.col("location_name") == cfg.warehouse, F.col("available_quantity"))
+    stock = base.withColumns(
+        {
+            "warehouse_style_available_quantity": F.sum(at_warehouse).over(of_product),
+            "style_available_quantity": F.sum("available_quantity").over(of_style),
+            "of_location": F.row_number().over(of_style.orderBy("variant_id", "inventory_item_id")),
+        }
     )
-    pairs = pair_candidates(
-        donors,
-        destinations,
+    pairs = pair_within(
+        stock,
         "product_id",
+        F.col("can_send_rotations")
+        & (F.col("available_quantity") > 0)
+        & ~F.col("location_name").isin(*cfg.consolidation_never_send)
+        & (F.col("style_available_quantity") == 1)
+        & (F.col("warehouse_style_available_quantity") <= 0),
+        # a location receives once per style
+        F.col("can_receive_rotations") & (F.col("style_available_quantity") > 1) & (F.col("of_location") == 1),
         cfg.consolidation_lanes,
         [~lane_condition("only_denim_classics") | F.col("s.denim_or_classics")],
     )
     candidates = pairs.select(
-        "s.product_id",
+        "product_id",
         "s.variant_id",
         "s.product_title",
         "s.variant_title",

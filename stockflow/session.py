@@ -20,8 +20,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when a later step must then shuffle again
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # a table partitioned by some of the join keys need not be shuffled again
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 _roots: dict[str, str] = {}
@@ -29,7 +27,8 @@ _scratch: dict[str, list[str]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings the models rely on to a session made elsewhere."""
+    """Apply the settings the models rely on to a session made elsewhere. They stay in force
+    for all its later queries: decimals, zone, ANSI errors and the splitting of skewed joins."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark

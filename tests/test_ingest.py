@@ -9,7 +9,9 @@ from stockflow.plans.ingest import IngestJob, ingest, levels_of_known_items, pag
 from stockflow.schemas import PAGE
 from stockflow.sources import CursorTable, LoadResult, TableStore, cap_pages, page_items, read_page_files, read_pages
 from stockflow.sources.envelope import normalise_phones
+from stockflow.sources.files import folders_in
 from stockflow.streaming import stream_pages_to_raw
+from stockflow.streaming.pages import append_batch
 
 NOW = datetime(2026, 7, 10, 12)
 
@@ -43,7 +45,7 @@ def test_phones_become_text_at_any_depth(spark):
     assert found == {
         **customer,
         "phone": "61400000000",
-        "addresses": [{"phone": "5.5"}, {"phone": None}, {"city": "x", "contact": {"phone": "-1"}}],
+        "addresses": [{"phone": "5.5"}, {"phone": None}, {"phone": None, "city": "x", "contact": {"phone": "-1"}}],
     }
 
 
@@ -56,6 +58,43 @@ def test_missing_phone_is_added(spark, item, expected):
     assert json.loads(df.select(normalise_phones(F.col("item"))).first()[0]) == expected
 
 
+@pytest.mark.parametrize(
+    ("item", "expected"),
+    [
+        ({"phone": "1", "default_address": {}}, {"phone": "1", "default_address": {"phone": None}}),
+        ({"default_address": {"city": "x"}, "phone": 5}, {"default_address": {"city": "x", "phone": None}, "phone": "5"}),
+        ({"phone": None, "addresses": [], "default_address": None}, {"phone": None, "addresses": [], "default_address": None}),
+        ({"phone": None, "addresses": [{}, {"a": 1.50}]}, {"phone": None, "addresses": [{"phone": None}, {"a": 1.5, "phone": None}]}),
+    ],
+)
+def test_addresses_of_customers_have_a_phone(spark, item, expected):
+    df = spark.createDataFrame([(json.dumps(item),)], "item string")
+    assert json.loads(df.select(normalise_phones(F.col("item"))).first()[0]) == expected
+
+
+def test_phones_of_other_entities_are_text(spark):
+    body = {"orders": [{"id": 1, "phone": 61400, "billing_address": {"phone": 7}}, {"id": 2}]}
+    raw = pages_to_raw(pages(spark, body), IngestJob("order"), instant(NOW))
+    assert payloads(raw) == [{"id": 1, "phone": "61400", "billing_address": {"phone": "7"}}, {"id": 2}]
+
+
+def test_items_that_do_not_say_when_they_changed_are_kept(spark, store):
+    job, state = IngestJob("order"), CursorTable(store)
+    ingest(pages(spark, {"orders": [order(1, "2026-07-02T00:00:00Z")]}), job, store, state, NOW)
+    later = [order(2, "2026-07-01T00:00:00Z"), order(3, "soon"), {"id": 4}, order(5, "2026-07-02T00:00:00Z")]
+    assert ingest(pages(spark, {"orders": later}), job, store, state, NOW).rows_loaded == 3
+    assert sorted(r.record_id for r in store.read(job.table).collect()) == ["1", "3", "4", "5"]
+
+
+def test_pages_landed_before_the_cursor_are_not_read(spark, store):
+    job, state = IngestJob("order"), CursorTable(store)
+    ingest(pages(spark, {"orders": [order(1, "2026-07-05T00:00:00Z")]}), job, store, state, NOW)
+    old = pages(spark, {"orders": [order(2, "2026-07-05T00:00:00Z")]}).selectExpr("*", "date'2026-07-01' as landed_on")
+    new = pages(spark, {"orders": [order(3, "2026-07-05T00:00:00Z")]}).selectExpr("*", "date'2026-07-05' as landed_on")
+    assert ingest(old.union(new), job, store, state, NOW).rows_loaded == 1
+    assert sorted(r.record_id for r in store.read(job.table).collect()) == ["1", "3"]
+
+
 def test_pages_without_a_list_and_items_without_an_id(spark):
     bodies = [
         {"locations": {"id": 1}},
@@ -156,6 +195,37 @@ def test_a_failed_replace_keeps_the_old_table(spark, store):
     assert store.read("t").count() == 3
 
 
+def test_a_failed_switch_keeps_the_old_table(spark, store, monkeypatch):
+    store.replace("t", spark.range(3))
+
+    def broken(self, *version):
+        raise OSError("store is away")
+
+    monkeypatch.setattr(TableStore, "_switch", broken)
+    result = store.replace("t", spark.range(9))
+    assert (result.status, result.error_message) == ("failed", "store is away")
+    assert store.read("t").count() == 3
+
+
+def test_a_reader_that_began_before_a_replace_finishes(spark, store):
+    store.replace("t", spark.range(3))
+    began = store.read("t")
+    store.replace("t", spark.range(5))
+    store.remove_superseded("t")
+    assert (began.count(), store.read("t").count()) == (3, 5)
+    store.replace("t", spark.range(7))
+    store.remove_superseded("t")
+    assert [name.split(".")[1][:2] for name in folders_in(store.root)].count("v-") == 2
+    assert store.read("t").count() == 7
+
+
+def test_rows_are_appended_to_the_newest_version(spark, store):
+    store.load("t", spark.range(2))
+    store.replace("t", spark.range(3))
+    store.load("t", spark.range(4))
+    assert store.read("t").count() == 7
+
+
 def test_a_table_can_be_replaced_from_itself(spark, store):
     store.replace("t", spark.range(3))
     assert store.replace("t", store.read("t").where("id > 0")).rows_loaded == 2
@@ -200,5 +270,26 @@ def test_stream_loads_each_file_once(spark, store, tmp_path):
     assert read_pages(spark, str(landing)).count() == 2
 
 
+@pytest.mark.parametrize("stream_first", [True, False])
+def test_streamed_and_batch_loaded_rows_are_one_table(spark, store, tmp_path, stream_first):
+    job = IngestJob("product")
+    (tmp_path / "a.json").write_text(json.dumps({"page_no": 1, "body": {"products": [{"id": 1}]}}) + "\n")
+    batch = pages(spark, {"products": [order(2, "2026-07-02T00:00:00Z"), order(3, "2026-07-01T00:00:00Z")]})
+    for stream in (stream_first, not stream_first):
+        if stream:
+            stream_pages_to_raw(spark, str(tmp_path), store, job).awaitTermination()
+        else:
+            assert ingest(batch, job, store, CursorTable(store), NOW).ok
+    assert sorted(r.record_id for r in store.read(job.table).collect()) == ["1", "2", "3"]
+
+
+def test_a_repeated_micro_batch_is_loaded_once(spark, store):
+    rows = pages_to_raw(pages(spark, {"products": [{"id": 1}]}), IngestJob("product"), instant(NOW))
+    for _ in range(2):
+        append_batch(rows, 0, "landing", store, IngestJob("product"))
+    append_batch(rows, 1, "landing", store, IngestJob("product"))
+    assert store.read("raw_products").count() == 2
+
+
 def test_store_is_a_plain_value(spark):
     assert TableStore(spark, "/x").path("t") == "/x/t"

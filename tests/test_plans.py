@@ -36,10 +36,20 @@ def test_no_plan_leaves_the_jvm_or_joins_without_a_key(plan_of, name):
         assert "SinglePartition" not in plan
 
 
-def test_pairs_and_both_rankings_share_one_shuffle_per_side(plan_of):
+def scans(plan):
+    return plan.count("FileScan parquet")
+
+
+def test_both_sides_of_pairs_and_both_rankings_share_one_shuffle(plan_of):
     plan = plan_of("store_rotation_candidates")
-    assert len(re.findall(r"Exchange hashpartitioning\(variant_id", plan)) == 2
-    assert plan.count("Window [") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(variant_id", plan)) == 1
+    assert plan.count("Window [") == 3 and scans(plan) == 3
+
+
+def test_consolidation_reads_each_table_once(plan_of):
+    plan = plan_of("style_consolidation_candidates")
+    assert scans(plan) == 3
+    assert len(re.findall(r"Exchange hashpartitioning\(product_id#\d+L, \d", plan)) <= 2
 
 
 def test_stock_is_shuffled_once_for_both_lookups_by_variant(plan_of):

@@ -1,6 +1,7 @@
 """The pair rules as lanes, against the same rules for one pair at a time."""
 
 import itertools
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -193,3 +194,18 @@ def test_consolidation_of_styles(spark):
         (4, 40, "Claremont", "Fitzroy"),
         (5, 50, "Newtown", "Oxford St"),
     ]
+
+
+def test_smith_st_gives_to_open_locations_once_it_may_send(spark):
+    cfg = replace(CFG, never_send=("Online / Warehouse",))
+    demand = [
+        *[demand_row("Online / Warehouse", v, 0, 0, 1) for v in (10,)],
+        demand_row("Smith St", 11, 1, 0, 1),
+        demand_row("Fitzroy", 12, 4, 0, 1),
+        demand_row("Newtown", 13, 9, 0, 1),
+    ]
+    given = tables(spark, demand)
+    locations = spark.createDataFrame(list(enumerate(PLACES)), "location_id long, location_name string")
+    given["store_rotation_locations"] = rotation.store_rotation_locations({"dim_locations": locations}, cfg)
+    found = rotation.style_consolidation_candidates(given, cfg).collect()
+    assert [(r.send_from_location_name, r.send_to_location_name) for r in found] == [("Smith St", "Fitzroy")]
