@@ -123,28 +123,42 @@ _BUCKET = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("sketch", pa.bina
 
 
 class _Bucket:
-    """The pivots of one bucket, met by its rows in turn."""
+    """The pivots of one bucket, met by its rows in turn. Edges span the groups that form:
+    a row that links to several pivots of one group gives one edge."""
 
     def __init__(self, joins: float):
         self._joins = joins
+        self._parent: list[int] = []  # of each pivot, up to the root of its group
         self.keys: list[bytes] = []
         self.sketches: list[np.ndarray] = []
         self.edges: list[tuple[bytes, bytes]] = []
 
+    def _root(self, pivot: int) -> int:
+        while self._parent[pivot] != pivot:
+            self._parent[pivot] = pivot = self._parent[self._parent[pivot]]
+        return pivot
+
     def meet(self, keys: list[bytes], sketches: np.ndarray) -> None:
-        left = np.arange(len(keys))
+        left, group = np.arange(len(keys)), np.full(len(keys), -1)
         pivot = 0
         while len(left):
             if pivot == len(self.keys):
-                # the first row that is left becomes a pivot
-                self.keys.append(keys[left[0]])
-                self.sketches.append(sketches[left[0]])
-                left = left[1:]
-            close = (sketches[left] == self.sketches[pivot]).mean(axis=1)
-            for i in left[close >= self._joins].tolist():
-                if keys[i] != self.keys[pivot]:
-                    self.edges.append((keys[i], self.keys[pivot]))
-            left = left[close < CORE]
+                # the first row that is left becomes a pivot, in the group it is in already
+                first, left = int(left[0]), left[1:]
+                self.keys.append(keys[first])
+                self.sketches.append(sketches[first])
+                self._parent.append(pivot if group[first] < 0 else self._root(int(group[first])))
+            alike = (sketches[left] == self.sketches[pivot]).mean(axis=1)
+            close = left[alike >= self._joins]
+            fresh = close[group[close] < 0]
+            self.edges += [(keys[i], self.keys[pivot]) for i in fresh.tolist() if keys[i] != self.keys[pivot]]
+            others = close[group[close] >= 0]
+            for one, at in zip(*np.unique(group[others], return_index=True), strict=True):
+                if self._root(int(one)) != self._root(pivot):
+                    self._parent[self._root(int(one))] = self._root(pivot)
+                    self.edges.append((keys[int(others[at])], self.keys[pivot]))
+            group[fresh] = pivot
+            left = left[alike < CORE]
             pivot += 1
 
 
