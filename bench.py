@@ -4,7 +4,8 @@ BENCH_SF_DIR (default /root/testdata/sf0.1) holds the flat tables, BENCH_CPUS is
 number of local cores. Models are built in dependency order and written as Parquet,
 as in the daily refresh; operator queries go to a sink that discards the rows. The
 raw tables are derived from the flat tables first, and that time is reported apart.
-A run over the smallest tables warms the JVM up and is not counted.
+A run over the smallest tables warms the JVM up and is not counted. Loading queries are
+timed too, with the writing of their pages, and kept out of the total.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from registry.loading import LOADING_QUERIES  # noqa: E402
 from registry.operators import OPERATOR_QUERIES  # noqa: E402
 from stockflow import build_session  # noqa: E402
 from stockflow.plans.models import (  # noqa: E402
@@ -46,6 +48,10 @@ OPERATORS = (
 )
 
 
+# from landed pages on; the refresh runs twice, over all versions
+LOADING = ("page_unnest", "stream_ingest", "cursor_roundtrip", "refresh_summary")
+
+
 def timed(action) -> float:
     start = time.perf_counter()
     action()
@@ -58,8 +64,8 @@ def write_or_fail(store: TableStore, name: str, rows) -> None:
         raise RuntimeError(f"{name}: {result.error_message}")
 
 
-def run(spark, folder: str) -> tuple[dict[str, float], float]:
-    """Seconds per model and operator, and seconds for deriving the raw tables."""
+def run(spark, folder: str) -> tuple[dict[str, float], dict[str, float], float]:
+    """Seconds per model and operator, per loading query, and for deriving the raw tables."""
     store = TableStore(spark, scratch_path(spark, "bench"))
     tables = StoredTables(store, feed.FEED_CONFIG)
     setup = sum(
@@ -82,7 +88,11 @@ def run(spark, folder: str) -> tuple[dict[str, float], float]:
         seconds[name] = timed(
             lambda: OPERATOR_QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         )
-    return seconds, round(setup, 3)
+    loading = {
+        name: timed(lambda: LOADING_QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save())
+        for name in LOADING
+    }
+    return seconds, loading, round(setup, 3)
 
 
 def main() -> None:
@@ -101,7 +111,7 @@ def main() -> None:
     smallest = Path(folder).parent / "sf0.001"
     if smallest.is_dir():
         run(spark, str(smallest))
-    seconds, setup = run(spark, folder)
+    seconds, loading, setup = run(spark, folder)
     models = len(STAGING_MODELS) + len(MART_MODELS)
     print(
         json.dumps(
@@ -112,6 +122,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": Path(folder).name.removeprefix("sf"),
                 "models_total": round(sum(list(seconds.values())[:models]), 3),
+                "loading": loading,
                 "derive_raw_tables": setup,
                 "cpus": cpus,
             }

@@ -163,9 +163,14 @@ def inventory_levels(t: Tables, cfg: RetailConfig) -> DataFrame:
     )
 
 
+ORDER_ARRAYS = ("line_items", "shipping_lines", "refunds")
+
+
 def orders(t: Tables, cfg: RetailConfig) -> DataFrame:
+    # the payload is by far the widest column: its arrays are kept beside it, so that order
+    # lines and daily sales each read their own and parse the whole no more
     parsed = parse_payload(
-        _latest_raw(t["raw_orders"]), "payload", schemas.ORDER, ["record_id", *ENVELOPE]
+        _latest_raw(t["raw_orders"]), "payload", schemas.ORDER, ["record_id", *ENVELOPE], lists=ORDER_ARRAYS
     )
     typed = _typed(
         parsed,
@@ -193,18 +198,14 @@ def orders(t: Tables, cfg: RetailConfig) -> DataFrame:
         "order_updated_at",
         "order_cancelled_at",
         *ENVELOPE,
+        *ORDER_ARRAYS,
     )
 
 
 def order_lines(t: Tables, cfg: RetailConfig) -> DataFrame:
     order_columns = ["order_id", "order_name", "order_created_at", "order_updated_at"]
-    unnested = (
-        explode_json_array(
-            t["orders"].select(*order_columns, *ENVELOPE), "payload", "line_items", "line"
-        )
-        .drop("payload")
-        .withColumnRenamed("line", "payload")
-    )
+    of_order = [name for name in ENVELOPE if name != "payload"]
+    unnested = t["orders"].select(*order_columns, *of_order, F.explode("line_items").alias("payload"))
     parsed = parse_payload(unnested, "payload", schemas.ORDER_LINE, [*order_columns, *ENVELOPE])
     product, sku = F.col("line_product_id"), F.col("sku")
     described = parsed.withColumns(

@@ -67,9 +67,11 @@ def test_filters_reach_the_files(plan_of):
     assert "LessThanOrEqual(warehouse_available_quantity,0)" in candidates
 
 
-def test_daily_sales_reads_the_orders_once(plan_of):
-    plan = plan_of("fact_daily_sales")
-    assert len(re.findall(r"FileScan parquet \[[^\]]*payload", plan)) == 1
+def test_payloads_of_orders_are_parsed_once(plan_of):
+    for name, array in (("fact_daily_sales", "refunds"), ("order_lines", "line_items")):
+        plan = plan_of(name)
+        assert not re.findall(r"FileScan parquet \[[^\]]*payload", plan)
+        assert len(re.findall(rf"FileScan parquet \[[^\]]*{array}", plan)) == 1
 
 
 def test_latest_versions_are_chosen_before_the_shuffle(plan_of):
