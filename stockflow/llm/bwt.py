@@ -1,6 +1,6 @@
 """Burrows-Wheeler transforms of shards of strings, merged by interleave refinement.
 
-A shard's suffixes are sorted once, alone. Merging starts with the shards' suffixes one
+A shard's suffixes are sorted once, alone, by their first eight symbols. Merging starts with the shards' suffixes one
 shard after the other and refines that interleaving: stepping every suffix to the one that
 is a character longer, and dealing them stably by that character, turns an order by the
 first h characters into one by h + 1. No suffix is compared with one of another shard.
@@ -31,29 +31,14 @@ def _words(symbols: np.ndarray, left: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray, n: int) -> np.ndarray:
-    """All n places in the order of the suffixes there; equal ones in order of place.
+    """All n places in the order of the first eight symbols there, then of place: the order
+    of a transform with bounded context. Refinement carries suffixes by number, so it needs
+    no more from a shard.
 
     ``left`` is how many symbols a suffix has before its string's end; ``symbols`` has
     eight more places behind the n.
     """
-    order = np.argsort(_words(symbols, left, np.arange(n)), kind="stable")
-    value = _words(symbols, left, np.arange(n))[order]
-    border = np.concatenate([[True], value[1:] != value[:-1]])
-    depth = 8
-    while True:
-        # places whose suffixes are still equal to a neighbour's and go on
-        tied = ~(border & np.append(border[1:], True))
-        at = np.flatnonzero(tied)
-        if not len(at) or not (left[order[at]] > depth).any():
-            return order
-        group = np.cumsum(border)[at]
-        places = order[at]
-        value = _words(symbols, left[places] - depth, places + depth)
-        again = np.lexsort((places, value, group))
-        order[at] = places[again]
-        value, group = value[again], group[again]
-        border[at[1:]] |= (value[1:] != value[:-1]) & (group[1:] == group[:-1])
-        depth += 8
+    return np.argsort(_words(symbols, left, np.arange(n)), kind="stable")
 
 
 def repeated_windows(strings: list[bytes], owners: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
