@@ -130,3 +130,56 @@ FROM texts LEFT JOIN found USING (row_no) GROUP BY texts.doc_id, texts.row_no
 
 
 PII_SQL = _pii_sql()
+
+
+def _components(nodes: str, links: str) -> str:
+    """Recursive: all (node, reached) pairs; links hold both directions."""
+    return f"""reach AS (
+  SELECT n AS node, n AS reached FROM {nodes}
+  UNION SELECT node, other FROM reach JOIN {links} ON reached = one)"""
+
+
+# n-gram sets as lists of words, every pair that shares one counted exactly
+NGRAM_SQL = f"""
+WITH RECURSIVE
+docs AS (
+  SELECT doc_id, coalesce(text, '') AS body, row_number() OVER () AS n,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+grams AS (
+  SELECT DISTINCT n, array_to_string(words[i:i + 4], ' ') AS gram
+  FROM (SELECT n, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM docs WHERE len(words) > 0)),
+sizes AS (SELECT n, count(*) AS size FROM grams GROUP BY n),
+shared AS (
+  SELECT a.n AS one, b.n AS other, count(*) AS n_both
+  FROM grams AS a JOIN grams AS b ON a.gram = b.gram AND a.n <> b.n GROUP BY 1, 2),
+links AS (
+  SELECT one, other FROM shared JOIN sizes AS a ON a.n = one JOIN sizes AS b ON b.n = other
+  WHERE 9 * n_both >= 4 * (a.size + b.size)),
+{_components("docs", "links")},
+groups AS (SELECT node, min(doc_id) AS class_id FROM reach JOIN docs ON reached = n GROUP BY node),
+counts AS (SELECT one, count(*) AS n_links FROM links GROUP BY one)
+SELECT doc_id, class_id,
+  CASE WHEN len(words) > 0 THEN min(doc_id) OVER (PARTITION BY body) ELSE doc_id END AS copy_id,
+  CASE WHEN len(words) > 0 THEN count(*) OVER (PARTITION BY body) ELSE 1 END AS n_copies,
+  coalesce(n_links, 0) AS n_links
+FROM docs JOIN groups ON node = n LEFT JOIN counts ON one = n
+"""
+
+# every pair of a label compared
+EMBEDDING_SQL = f"""
+WITH RECURSIVE
+vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, row_number() OVER () AS n FROM embeddings),
+usable AS (
+  SELECT * FROM vectors WHERE label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x : x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(v, lambda x : x <> 0)) > 0),
+links AS (
+  SELECT a.n AS one, b.n AS other FROM usable AS a JOIN usable AS b ON a.label = b.label AND a.n <> b.n
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+{_components("vectors", "links")},
+groups AS (SELECT node, min(vec_id) AS component_id FROM reach JOIN vectors ON reached = n GROUP BY node),
+counts AS (SELECT one, count(*) AS n_links FROM links GROUP BY one)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM vectors JOIN groups ON node = n LEFT JOIN counts ON one = n
+"""
