@@ -67,6 +67,9 @@ class Pieces(TableEncoder):
                 score[i] = 0 if 0x80 <= value < 0xC0 else self.unknown
         self.scores = np.array([score[i] for i in range(len(proto.pieces))], np.int64)
         self.longest = max(map(len, self.ids))
+        # the score of each piece; None for what only begins one
+        self._begun: dict[str, int | None] = {p[:n]: None for p in self.ids for n in range(1, len(p))}
+        self._begun |= {p: score[i] for p, i in self.ids.items()}
         self.text = [
             bytes([int(p.piece[1:-1], 16)]) if p.type == byte else p.piece.replace(SPACE, " ").encode()
             for p in proto.pieces
@@ -78,17 +81,20 @@ class Pieces(TableEncoder):
 
     def steps(self, text: str, at: int) -> Iterator[tuple[int, int]]:
         """End and score of each piece that starts at ``at``; the first may be unknown."""
-        ids = self.ids
-        if text[at] not in ids:
+        begun = self._begun
+        if begun.get(text[at]) is None:
             yield at + 1, self.unknown
-        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
-            found = ids.get(text[at:end])
-            if found is not None:
-                yield end, int(self.scores[found])
+        for end in range(at + 1, len(text) + 1):
+            score = begun.get(text[at:end], NEVER)
+            if score == NEVER:
+                return
+            if score is not None:
+                yield end, score
 
     def best_path(self, text: str, start: int, stop: int, beyond: int = 0) -> tuple[int, list[int]]:
         """Score and ids of the best segmentation of text[start:stop]; the first piece must
         end behind ``beyond``."""
+        begun, unknown = self._begun, self.unknown
         best = [NEVER] * (stop - start + 1)
         came = [0] * (stop - start + 1)
         best[0] = 0
@@ -96,8 +102,17 @@ class Pieces(TableEncoder):
             here = best[at - start]
             if here == NEVER:
                 continue
-            for end, score in self.steps(text, at):
-                if end <= stop and (at > start or end > beyond) and here + score > best[end - start]:
+            # the loop of ``steps``, written out: it runs for every place of every new word
+            least = beyond if at == start else at
+            if begun.get(text[at]) is None and at + 1 > least and here + unknown > best[at - start + 1]:
+                best[at - start + 1], came[at - start + 1] = here + unknown, at
+            for end in range(at + 1, stop + 1):
+                score = begun.get(text[at:end], NEVER)
+                if score is None:
+                    continue
+                if score == NEVER:
+                    break
+                if here + score > best[end - start] and end > least:
                     best[end - start], came[end - start] = here + score, at
         if best[-1] == NEVER:
             return NEVER, []
@@ -256,7 +271,7 @@ def vocabulary(model: str) -> Pieces:
 _ENCODED_DDL = "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, ids binary"
 
 
-def _encode_small(model: str):
+def _encode_small(model: str, with_ids: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(model)
         for batch in batches:
@@ -275,7 +290,9 @@ def _encode_small(model: str):
                     own = plain[c:d] if same else decoded[:0]
                     texts.append(zlib.crc32(own.tobytes()))
                     trips.append(same and bool((own == data[c:d]).all()))
-                parts = [raw[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                parts = [None] * n
+                if with_ids:
+                    parts = [raw[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(done, n),
@@ -387,15 +404,16 @@ def _giant_ids(giants: DataFrame, model: str, chunk_chars: int) -> DataFrame:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, giant_chars: int = GIANT_CHARS, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame, model: str, giant_chars: int = GIANT_CHARS, chunk_chars: int = CHUNK_CHARS,
+    with_ids: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_crc32, decoded_crc32 (checksums of the ids
     as little-endian 32-bit numbers, and of the text decoded from them), round_trip (whether that is
-    the text), ids. Chunks must be longer than the longest piece."""
+    the text), ids (NULL unless asked for). Chunks must be longer than the longest piece."""
     ship_package(docs.sparkSession)
     rows = has_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     giant = F.length("text") > giant_chars
-    small = rows.where(~giant).mapInArrow(_encode_small(model), _ENCODED_DDL)
+    small = rows.where(~giant).mapInArrow(_encode_small(model, with_ids), _ENCODED_DDL)
     keyed = rows.where(giant).withColumn("key", F.unhex(F.md5("text")))
     n = shuffle_partitions(docs.sparkSession)
 
@@ -411,7 +429,7 @@ def encode_documents(
                     pa.array([zlib.crc32(ids)]),
                     pa.array([zlib.crc32(decoded)]),
                     pa.array([len(decoded)]),
-                    pa.array([ids], pa.binary()),
+                    pa.array([ids if with_ids else None], pa.binary()),
                 ],
                 names=["key", "n_tokens", "ids_crc32", "decoded_crc32", "n_bytes", "ids"],
             )
