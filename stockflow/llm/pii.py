@@ -2,6 +2,9 @@
 
 1. A regular expression per kind proposes spans, leftmost first and without overlap
    inside a kind. A match that its validator rejects is dropped and not tried again.
+   Bank accounts are looked for from every word that can begin one instead, and end where
+   a word ends: of the ends that pass mod-97 the one at the length of the country counts,
+   or else the last. So two may overlap, where one is found inside another.
 2. Validators: parts of an address up to 255, Luhn for cards, mod-97 for bank accounts,
    a number of digits for phones.
 3. A score from 0 to 100: what the kind is worth, plus what a confirming checksum adds,
@@ -43,6 +46,22 @@ class Kind:
 
 
 _LOCAL = "A-Za-z0-9._%+-"
+# what may not stand directly before or after an account; other scripts have no spaces
+_ALNUM = r"[\p{IsLatin}\p{Nd}]"
+_HEAD = r"[A-Z]{2}[0-9]{2}"
+HEAD_CHARS = 4
+# code points without spaces
+ACCOUNT_MIN, ACCOUNT_MAX = 15, 34
+# as far as the last word's end
+_ACCOUNT = rf"^{_HEAD}(?:\x20?[A-Z0-9]){{{ACCOUNT_MIN - HEAD_CHARS},{ACCOUNT_MAX - HEAD_CHARS}}}(?!{_ALNUM})"
+# spaces before all but the head's code points, and what follows directly
+_STRETCH = 2 * ACCOUNT_MAX - HEAD_CHARS + 1
+ACCOUNT_CHARS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 KINDS = (
     Kind(
         "email",
@@ -55,7 +74,15 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 60, "ip|address|host|server", True),
     Kind("card", r"[0-9](?:[\x20-]?+[0-9])++", 70, "card|visa|credit|pay", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 60, "phone|tel|call|mobile|fax", True),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", 70, "iban|account|bank", False),
+    Kind(
+        "iban",
+        # matches the head alone, so that a later word may begin an account too; the group is what may belong to it
+        rf"(?:(?<!{_ALNUM})|(?<=(?i:iban)))"
+        rf"(?=({_HEAD}(?:\x20?[A-Z0-9]){{{ACCOUNT_MIN - HEAD_CHARS}}}(?s:.{{0,{_STRETCH - ACCOUNT_MIN}}}))){_HEAD}",
+        70,
+        "iban|account|bank",
+        False,
+    ),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 30, "ssn|social security|tax id", False),
 )
 
@@ -86,6 +113,30 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), step) == 1
 
 
+def account(stretch: Column) -> Column:
+    """The account number that a text begins with, or NULL."""
+    lengths = F.create_map(*[F.lit(x) for n, codes in ACCOUNT_CHARS.items() for code in codes.split() for x in (code, n)])
+
+    def plain(part: Column) -> Column:
+        return F.replace(part, F.lit(" "), F.lit(""))
+
+    def beginnings(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+
+    def best(valid: Column) -> Column:
+        of_country = F.filter(valid, lambda part: F.length(plain(part)) == F.try_element_at(lengths, F.left(part, F.lit(2))))
+        return F.coalesce(F.get(of_country, F.lit(0)), F.get(valid, F.size(valid) - 1))
+
+    words = F.split(F.regexp_extract(stretch, _ACCOUNT, 0), " ")
+    return _bound(
+        F.filter(
+            _bound(words, beginnings),
+            lambda part: F.when(F.length(plain(part)) >= ACCOUNT_MIN, mod97(plain(part))).otherwise(False),
+        ),
+        best,
+    )
+
+
 def _valid(kind: str, match: Column) -> Column:
     n_digits = F.length(_digits(match))
     if kind == "ip":
@@ -99,9 +150,7 @@ def _valid(kind: str, match: Column) -> Column:
         return F.when(n_digits.between(13, 19), luhn(_digits(match))).otherwise(False)
     if kind == "phone":
         return n_digits.between(9, 15)
-    if kind == "iban":
-        return mod97(F.replace(match, F.lit(" "), F.lit("")))
-    return F.lit(True)
+    return match.isNotNull()
 
 
 SPAN = "struct<kind:string,start:int,end:int,score:int>"
@@ -138,22 +187,32 @@ def _by_blocks(
 
 
 def _spans_of(kind: Kind, text: Column) -> Column:
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    accounts = kind.name == "iban"
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if accounts else 0))
     none = F.array().cast(f"array<{SPAN}>")
 
+    def head(pair: Column) -> Column:
+        """What the pattern matched: where the next piece between matches begins."""
+        return F.left(pair["match"], F.lit(HEAD_CHARS)) if accounts else pair["match"]
+
     def take(state: Column, pair: Column) -> Column:
+        if accounts:
+            return _bound(account(pair["match"]), lambda match: taken(state, pair, match))
+        return taken(state, pair, pair["match"])
+
+    def taken(state: Column, pair: Column, match: Column) -> Column:
         start = state["pos"] + F.length(pair["before"])
-        end = start + F.length(pair["match"])
+        end = start + F.length(match)
         # the text just before is carried along: finding a place in a text takes its length
         near = F.right(F.concat(state["near"], pair["before"]), F.lit(CONTEXT_CHARS))
         score = F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), CONTEXT_SCORE).otherwise(0)
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        accepted = _valid(kind.name, pair["match"])
+        accepted = _valid(kind.name, match)
         if not kind.base:
             accepted = accepted & (score >= THRESHOLD)
         return F.struct(
-            end.alias("pos"),
-            F.right(F.concat(near, pair["match"]), F.lit(CONTEXT_CHARS)).alias("near"),
+            (start + F.length(head(pair))).alias("pos"),
+            F.right(F.concat(near, head(pair)), F.lit(CONTEXT_CHARS)).alias("near"),
             F.when(accepted, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
         )
 
@@ -164,7 +223,7 @@ def _spans_of(kind: Kind, text: Column) -> Column:
         return F.aggregate(part, state, take, lambda state: state["found"])
 
     def length(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda n, pair: n + F.length(pair["before"]) + F.length(pair["match"]))
+        return F.aggregate(part, F.lit(0), lambda n, pair: n + F.length(pair["before"]) + F.length(head(pair)))
 
     def located(found: Column) -> Column:
         before = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))

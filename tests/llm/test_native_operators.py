@@ -131,6 +131,36 @@ def test_kinds_and_validators(spark):
     ]
 
 
+def test_accounts_end_with_their_words(spark):
+    """Capital letters and digits after a space, a word before that could begin one, none inside words."""
+    grouped, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    many = "AB12 " * (pii.BLOCK + 5)
+    assert found_in(
+        spark,
+        f"IBAN {plain} Please pay",
+        f"IBAN {grouped} BIC COBADEFF",
+        f"IBAN {grouped} 42 EUR",
+        "GB82WEST12345698765432 I will",
+        f"☃ AB12 {plain} and {grouped} {plain}",
+        f"IBAN{plain}. 中{plain}中",
+        f"x{plain} {plain}X 1{plain} {plain}é",
+        "FE5949719B6B82BC439E9329B",
+        many + grouped + " X",
+    ) == [
+        "iban:5:27",
+        "iban:5:32",
+        "iban:5:32",
+        "iban:0:22",
+        "iban:7:29,iban:34:61,iban:62:84",
+        "iban:4:26,iban:29:51",
+        "",
+        "",
+        f"iban:{len(many)}:{len(many) + 27}",
+    ]
+    row = spark.createDataFrame([(f"to {grouped} EUR 5",)], "text string")
+    assert row.select(pii.redacted(F.col("text"), pii.spans(F.col("text")))).first()[0] == "to [IBAN] EUR 5"
+
+
 def test_very_long_texts(spark):
     """Runs that could make a pattern step back over and over, or recurse."""
     n = 200_000
