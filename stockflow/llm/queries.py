@@ -70,7 +70,7 @@ def pii_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def pieces_query(spark: SparkSession, folder: str) -> DataFrame:
     docs, model = table(spark, folder, "documents"), public_vocabulary(PIECE_MODEL)
-    return piece_scan.encode_documents(docs, model, with_ids=False).drop("ids")
+    return piece_scan.encode_documents(docs, model)
 
 
 def embedding_query(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 from stockflow.llm import piece_scan
 from stockflow.llm.encoding import public_vocabulary
-from stockflow.llm.queries import PIECE_MODEL
+from stockflow.llm.queries import PIECE_MODEL, QUERIES
 from tests.conftest import SMALL
 
 MODEL = public_vocabulary(PIECE_MODEL)
@@ -101,3 +101,14 @@ def test_all_documents_come_back(spark):
     found = piece_scan.encode_documents(docs, MODEL, giant_chars=4000, chunk_chars=1000)
     assert found.where("round_trip").count() == docs.count()
     assert piece_scan.encode_documents(docs.limit(0), MODEL).count() == 0
+
+
+def test_the_query_returns_the_ids(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    found = QUERIES["op9_piece_scan"](spark, SMALL).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        ids = np.frombuffer(row.ids, "<u4")
+        assert len(ids) == row.n_tokens and zlib.crc32(row.ids) == row.ids_crc32
+        plain = (texts[row.doc_id] or "").replace(piece_scan.SPACE, " ")
+        assert piece_scan.vocabulary(MODEL).decode(ids)[1:].decode() == plain
