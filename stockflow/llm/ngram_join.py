@@ -378,7 +378,8 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFr
 def similar_documents(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest doc_id of its group), copy_id
     (the smallest doc_id with the same text), n_copies (documents with that text), n_links
-    (other documents at the threshold or over it), text_key.
+    (other documents at the threshold or over it), text_key, group_key (one for all
+    documents of a group).
     """
     signed = cut(signed_documents(docs))
     classes = cut(
@@ -396,7 +397,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     groups = components(checked.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = groups.join(classes.select(F.col("key").alias("node"), "rep"), "node")
     smallest = named.groupBy("component").agg(F.min("rep").alias("class_id"))
-    class_of = groups.join(smallest, "component").select(F.col("node").alias("key"), "class_id")
+    class_of = groups.join(smallest, "component").select(F.col("node").alias("key"), "class_id", "component")
     facts = (
         classes.select("key", "rep", "copies", "n_shingles")
         .join(links, "key", "left")
@@ -407,6 +408,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             "copies",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("class_id", "rep").alias("class_id"),
+            F.coalesce("component", "key").alias("group_key"),
             (F.col("n_shingles") > 0).alias("has_words"),
         )
     )
@@ -418,22 +420,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("has_words"), F.col("copies")).otherwise(F.lit(1)).alias("n_copies"),
         F.when(F.col("has_words"), F.col("n_links")).otherwise(F.lit(0)).alias("n_links"),
         "text_key",
+        "group_key",
     )
 
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The document with the smallest doc_id of each group; documents without words stay.
 
-    Of rows with that doc_id and the same text one stays.
+    Of several texts with that doc_id the one with the smallest key stays, and of rows with
+    the same text one.
     """
     found = similar_documents(docs)
-    # a group whose doc_ids are all NULL is told apart by its texts
     mine = F.col("doc_id").eqNullSafe(F.col("class_id"))
     winners = (
         found.where(mine)
         .groupBy("doc_id", "text_key")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.max("n_copies").alias("__copies"))
-        .select(F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"), "__rows")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("group_key").alias("group_key"))
+        # texts without words are groups of their own, in each doc_id
+        .groupBy("doc_id", "group_key")
+        .agg(F.min(F.struct("text_key", "rows")).alias("one"))
+        .select(F.col("doc_id").alias("__doc_id"), F.col("one.text_key").alias("__text_key"), F.col("one.rows").alias("__rows"))
     )
     keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     same = (F.col("__key") == F.col("__text_key")) & docs["doc_id"].eqNullSafe(F.col("__doc_id"))

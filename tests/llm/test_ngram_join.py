@@ -65,6 +65,24 @@ def test_one_document_of_each_group_stays(spark):
         assert (class_id if not isinstance(class_id, tuple) else class_id[0]) in left
 
 
+def test_one_near_copy_stays_whatever_the_doc_ids(spark):
+    """Near copies of NULL doc_ids alone, and several that share the smallest doc_id."""
+    words = [f"w{i}" for i in range(100)]
+
+    def near(name: str, n: int) -> list[str]:
+        return [" ".join([name + w for w in words] + [f"end{i}"]) for i in range(n)]
+
+    nulls, equal, mixed, apart = near("a", 4), near("b", 3), near("c", 2), near("d", 1) + near("e", 1)
+    rows = [(None, t) for t in nulls + nulls[:1]] + [(1, t) for t in equal + equal[:1]] + [(2, equal[0] + " more")]
+    rows += [(None, mixed[0]), (7, mixed[1])] + [(None, t) for t in apart] + [(None, ""), (None, " "), (3, "")]
+    kept = ngram_join.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_name = {}
+    for r in kept:
+        by_name.setdefault(r.text[:1] if r.text.strip() else "", []).append(r.doc_id)
+    assert {k: v for k, v in by_name.items() if k} == {"a": [None], "b": [1], "c": [7], "d": [None], "e": [None]}
+    assert len(by_name[""]) == 3
+
+
 def test_no_documents(spark):
     assert ngram_join.similar_documents(documents(spark, [])).count() == 0
     assert ngram_join.keep_one_per_group(documents(spark, [])).count() == 0
