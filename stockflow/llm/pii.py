@@ -10,7 +10,8 @@
 3. A score from 0 to 100: what the kind is worth, plus what a confirming checksum adds,
    plus what a context word in the code points before the span adds. Base kinds (email,
    ip, card, phone) always stay; the kinds that the method adds (iban, ssn) stay from
-   THRESHOLD on, so an ssn counts only next to a word that names it.
+   THRESHOLD on, so an ssn counts only next to a word that names it. For these, a word in
+   as many code points after the span counts as well.
 
 Positions come from the pieces between the matches, so a text is matched twice at most
 per kind, and only once if nothing matches. All quantifiers that could backtrack over a
@@ -34,6 +35,8 @@ from stockflow.llm.common import has_columns
 CONTEXT_CHARS = 40
 CONTEXT_SCORE = 30
 THRESHOLD = 60
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+SSN_CHARS = 11
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,7 @@ class Kind:
     name: str
     pattern: str
     score: int  # of a match that its validator accepts
-    context: str  # words before a span that speak for it
+    context: str  # words near a span that speak for it
     base: bool  # base kinds stay whatever their score
 
 
@@ -54,8 +57,8 @@ HEAD_CHARS = 4
 ACCOUNT_MIN, ACCOUNT_MAX = 15, 34
 # as far as the last word's end
 _ACCOUNT = rf"^{_HEAD}(?:\x20?[A-Z0-9]){{{ACCOUNT_MIN - HEAD_CHARS},{ACCOUNT_MAX - HEAD_CHARS}}}(?!{_ALNUM})"
-# spaces before all but the head's code points, and what follows directly
-_STRETCH = 2 * ACCOUNT_MAX - HEAD_CHARS + 1
+# spaces before all but the head's code points, and the context that follows
+_STRETCH = 2 * ACCOUNT_MAX - HEAD_CHARS + CONTEXT_CHARS
 ACCOUNT_CHARS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
@@ -76,14 +79,22 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 60, "phone|tel|call|mobile|fax", True),
     Kind(
         "iban",
-        # matches the head alone, so that a later word may begin an account too; the group is what may belong to it
+        # matches the head alone, so that a later word may begin an account too; the group is what may belong
+        # to it and the context behind
         rf"(?:(?<!{_ALNUM})|(?<=(?i:iban)))"
         rf"(?=({_HEAD}(?:\x20?[A-Z0-9]){{{ACCOUNT_MIN - HEAD_CHARS}}}(?s:.{{0,{_STRETCH - ACCOUNT_MIN}}}))){_HEAD}",
         70,
         "iban|account|bank",
         False,
     ),
-    Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 30, "ssn|social security|tax id", False),
+    Kind(
+        "ssn",
+        # the group is the number and the context behind it
+        rf"(?=({_SSN}(?s:.{{0,{CONTEXT_CHARS}}}))){_SSN}",
+        30,
+        "ssn|social security|tax id",
+        False,
+    ),
 )
 
 
@@ -187,25 +198,28 @@ def _by_blocks(
 
 
 def _spans_of(kind: Kind, text: Column) -> Column:
-    accounts = kind.name == "iban"
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if accounts else 0))
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0 if kind.base else 1))
     none = F.array().cast(f"array<{SPAN}>")
 
     def head(pair: Column) -> Column:
         """What the pattern matched: where the next piece between matches begins."""
-        return F.left(pair["match"], F.lit(HEAD_CHARS)) if accounts else pair["match"]
+        return pair["match"] if kind.base else F.left(pair["match"], F.lit(HEAD_CHARS if kind.name == "iban" else SSN_CHARS))
 
     def take(state: Column, pair: Column) -> Column:
-        if accounts:
+        if kind.name == "iban":
             return _bound(account(pair["match"]), lambda match: taken(state, pair, match))
-        return taken(state, pair, pair["match"])
+        return taken(state, pair, head(pair))
 
     def taken(state: Column, pair: Column, match: Column) -> Column:
         start = state["pos"] + F.length(pair["before"])
         end = start + F.length(match)
         # the text just before is carried along: finding a place in a text takes its length
         near = F.right(F.concat(state["near"], pair["before"]), F.lit(CONTEXT_CHARS))
-        score = F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), CONTEXT_SCORE).otherwise(0)
+        named = F.lower(near).rlike(kind.context)
+        if not kind.base:
+            behind = F.substring(pair["match"], F.length(match) + 1, F.lit(CONTEXT_CHARS))
+            named = named | F.lower(behind).rlike(kind.context)
+        score = F.lit(kind.score) + F.when(named, CONTEXT_SCORE).otherwise(0)
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         accepted = _valid(kind.name, match)
         if not kind.base:

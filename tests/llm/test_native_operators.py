@@ -161,6 +161,17 @@ def test_accounts_end_with_their_words(spark):
     assert row.select(pii.redacted(F.col("text"), pii.spans(F.col("text")))).first()[0] == "to [IBAN] EUR 5"
 
 
+def test_context_on_either_side(spark):
+    away = "." * (pii.CONTEXT_CHARS - 1)
+    texts = [
+        "SSN 123-45-6789", "123-45-6789 (SSN)", "☃ 123-45-6789 is my\nsocial security number", f"123-45-6789{away[2:]}ssn",
+        f"123-45-6789{away[1:]}ssn", "123-45-6789", "123-45-6789, 987-65-4321 ssn",
+    ]
+    assert found_in(spark, *texts) == ["ssn:4:15", "ssn:0:11", "ssn:2:13", "ssn:0:11", "", "", "ssn:0:11,ssn:13:24"]
+    docs = spark.createDataFrame([(1, "DE89370400440532013000 is my account"), (2, "DE89370400440532013000")], "doc_id long, text string")
+    assert [r.scores for r in pii.digests(pii.find_pii(docs)).orderBy("doc_id").collect()] == ["100", "70"]
+
+
 def test_very_long_texts(spark):
     """Runs that could make a pattern step back over and over, or recurse."""
     n = 200_000
