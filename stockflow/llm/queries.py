@@ -7,9 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, embedding_join, ngram_join, packing, pii, piece_scan, quality, sharding, suffix_dedup, token_files
+from stockflow.llm import (
+    chat,
+    divergence,
+    embedding_join,
+    ngram_join,
+    packing,
+    pii,
+    piece_scan,
+    quality,
+    resampling,
+    sharding,
+    suffix_dedup,
+    token_files,
+)
 from stockflow.llm.encoding import public_vocabulary
-from stockflow.llm.sql import CHAT_SQL, EMBEDDING_SQL, NGRAM_SQL, PII_SQL, SHARDING_SQL
+from stockflow.llm.sql import (
+    CHAT_SQL,
+    DIVERGENCE_SQL,
+    EMBEDDING_SQL,
+    NGRAM_SQL,
+    PII_SQL,
+    RESAMPLING_SQL,
+    SHARDING_SQL,
+)
 from stockflow.session import scratch_path
 
 END_ID = 2
@@ -77,6 +98,15 @@ def embedding_query(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_join.similar_vectors(table(spark, folder, "embeddings"))
 
 
+def resampling_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.importance_ranks(docs, target, keep=("doc_id",))
+
+
+def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_query,
     "op2_suffix_dedup": suffix_query,
@@ -88,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": pii_query,
     "op9_piece_scan": pieces_query,
     "op10_embedding_join": embedding_query,
+    "op11_importance_resampling": resampling_query,
+    "op13_source_divergence": divergence_query,
 }
 
 # The others cannot be said in SQL (token ids, learned rules, packing), or only far too slowly
@@ -98,4 +130,6 @@ SQL: dict[str, str] = {
     "op7_chat_examples": CHAT_SQL,
     "op8_personal_data": PII_SQL,
     "op10_embedding_join": EMBEDDING_SQL,
+    "op11_importance_resampling": RESAMPLING_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
 }

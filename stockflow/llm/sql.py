@@ -183,3 +183,76 @@ counts AS (SELECT one, count(*) AS n_links FROM links GROUP BY one)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
 FROM vectors JOIN groups ON node = n LEFT JOIN counts ON one = n
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RESAMPLING_SQL = f"""
+WITH {_CRC}
+texts AS (
+  SELECT 0 AS kind, row_number() OVER () AS row_no, doc_id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+words AS (
+  SELECT kind, row_no, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+features AS (
+  SELECT kind, row_no, unnest(list_concat(w,
+    list_transform(range(1, len(w)), lambda i : w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i : w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words),
+different AS (SELECT f, row_number() OVER () AS f_no FROM (SELECT DISTINCT f FROM features)),
+hexed AS (SELECT f, hex(encode(f)) AS h, strlen(f) AS n FROM different),
+bytes AS (
+  SELECT f, list_transform(range(1, n + 1), lambda i : ('0x' || substr(h, 2 * i - 1, 2))::BIGINT)::BIGINT[] AS b FROM hexed),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+      lambda c, x : xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc_table),
+counted AS (
+  SELECT kind, row_no, bucket, count(*) AS n FROM features JOIN hashed USING (f) GROUP BY ALL),
+buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t
+  FROM counted GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM buckets),
+gained AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM buckets, totals),
+weights AS (
+  SELECT row_no, sum(n) AS n_features, sum(n * gain) AS weight FROM counted JOIN gained USING (bucket)
+  WHERE kind = 0 GROUP BY row_no),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (row_no) WHERE kind = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features) AS place,
+    count(*) FILTER (n_words >= 20) OVER () * 5 // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+DIVERGENCE_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+seen AS (SELECT row_no, lang, source, unnest(terms) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT row_no) AS n_docs FROM seen GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS lang_n FROM counts GROUP BY lang, term HAVING sum(n_docs) >= 30),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS of_lang FROM kept GROUP BY lang),
+grps AS (SELECT DISTINCT lang, source FROM docs),
+level AS (
+  SELECT lang, source, term, lang_n, coalesce(n, 0)::HUGEINT AS n FROM grps JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+sums AS (SELECT lang, source, sum(n)::HUGEINT AS of_group FROM level GROUP BY lang, source),
+share AS (
+  SELECT lang, source, term, n, (1 + 1000000000 * (n + 5) // (of_group + 5 * v))::BIGINT AS p,
+    (1 + 1000000000 * (lang_n + 5) // (of_lang + 5 * v))::BIGINT AS q
+  FROM level JOIN sums USING (lang, source) JOIN langs USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN share x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN share y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+above AS (SELECT lang, source, term AS item, p - q AS value FROM share WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pair
+UNION ALL SELECT lang, source, 'term', item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM above) WHERE rank <= 50
+"""
