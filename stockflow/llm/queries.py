@@ -20,6 +20,7 @@ from stockflow.llm import (
     sharding,
     suffix_dedup,
     token_files,
+    toxicity,
 )
 from stockflow.llm.encoding import public_vocabulary
 from stockflow.llm.sql import (
@@ -103,6 +104,10 @@ def resampling_query(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.importance_ranks(docs, target, keep=("doc_id",))
 
 
+def toxicity_query(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_piece_scan": pieces_query,
     "op10_embedding_join": embedding_query,
     "op11_importance_resampling": resampling_query,
+    "op12_toxicity": toxicity_query,
     "op13_source_divergence": divergence_query,
 }
 
