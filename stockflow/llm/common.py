@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -19,6 +21,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 
 _shipped: set[str] = set()
+# where the C library has it
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -59,6 +63,56 @@ def has_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[name] for name in names])
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the table does not use yet, whatever its case."""
+    used = {name.lower() for name in df.columns}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
+def release_memory() -> None:
+    """Give what this worker no longer uses back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def releasing(function):
+    """A function for ``mapInArrow`` that gives memory back when its partition ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def releasing_group(function):
+    """The same for ``applyInArrow``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        result = function(table)
+        release_memory()
+        return result
+
+    return run
+
+
+def releasing_pair(function):
+    """The same for ``applyInArrow`` of two grouped tables."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        result = function(left, right)
+        release_memory()
+        return result
+
+    return run
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The groups of a stream of batches whose rows come ordered by ``key``."""
     pending: list[pa.RecordBatch] = []

@@ -60,6 +60,8 @@ class TableEncoder:
     One per worker process: the table stays between tasks.
     """
 
+    limit = TABLE_PIECES
+
     def __init__(self):
         self._forget()
 
@@ -101,7 +103,7 @@ class TableEncoder:
     def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        if len(self._number) > TABLE_PIECES or len(self._ends) > 2 * TABLE_PIECES:
+        if len(self._number) > self.limit or len(self._ends) > 2 * self.limit:
             self._forget()
         cuts = self._cuts(data, offsets)
         edges = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
@@ -119,6 +121,9 @@ class TableEncoder:
 class ChunkEncoder(TableEncoder):
     """Encodes by a vocabulary file of the tokenizers library."""
 
+    # some 64 MB: a piece takes about 200 bytes
+    limit = 300_000
+
     def __init__(self, vocabulary: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import cut, groups_of, has_columns, ship_package, shuffle_partitions
+from stockflow.llm.common import cut, free_name, groups_of, has_columns, releasing, ship_package, shuffle_partitions
 from stockflow.llm.graph import components
 from stockflow.llm.shingles import mixed, shingle_hashes, text_slices
 
@@ -112,7 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signed_documents(docs: DataFrame) -> DataFrame:
     """One row per document: key (of its text), doc_id, n_shingles, sketch, bands."""
     ship_package(docs.sparkSession)
-    return has_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign, _SIGNED_DDL)
+    return has_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(_sign), _SIGNED_DDL)
 
 
 # -- candidates ------------------------------------------------------------------
@@ -357,7 +357,7 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFr
     same = (F.col("text_key") == F.col("member")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     found = texts.join(dealt, same).select("member", "component", "blocks", "block", "copies", "text")
     schema = "member binary, component binary, blocks long, block long, copies long, grams binary"
-    sets = found.mapInArrow(_sets, schema)
+    sets = found.mapInArrow(releasing(_sets), schema)
     paired = sets.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "with"), F.greatest("block", "with")
     units = paired.select(
@@ -369,7 +369,7 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFr
         "grams",
     )
     n = shuffle_partitions(docs.sparkSession)
-    return units.repartition(n, "unit").sortWithinPartitions("unit", "key").mapInArrow(_verify, _VERIFIED_DDL)
+    return units.repartition(n, "unit").sortWithinPartitions("unit", "key").mapInArrow(releasing(_verify), _VERIFIED_DDL)
 
 
 # -- the join ------------------------------------------------------------------------
@@ -441,9 +441,12 @@ def keep_one_per_group(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("text_key", "rows")).alias("one"))
         .select(F.col("doc_id").alias("__doc_id"), F.col("one.text_key").alias("__text_key"), F.col("one.rows").alias("__rows"))
     )
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    same = (F.col("__key") == F.col("__text_key")) & docs["doc_id"].eqNullSafe(F.col("__doc_id"))
-    kept = keyed.join(winners, same)
-    single = kept.where(F.col("__rows") == 1)
-    again = kept.where(F.col("__rows") > 1).dropDuplicates(["__doc_id", "__key"])
+    key, rows = free_name(docs, "__key"), free_name(docs, "__rows")
+    doc_id, text_key = free_name(docs, "__doc_id"), free_name(docs, "__text_key")
+    named = winners.withColumnsRenamed({"__doc_id": doc_id, "__text_key": text_key, "__rows": rows})
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    same = (F.col(key) == F.col(text_key)) & docs["doc_id"].eqNullSafe(F.col(doc_id))
+    kept = keyed.join(named, same)
+    single = kept.where(F.col(rows) == 1)
+    again = kept.where(F.col(rows) > 1).dropDuplicates([doc_id, key])
     return single.unionByName(again).select(*[F.col(name) for name in docs.columns])

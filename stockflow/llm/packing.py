@@ -20,6 +20,7 @@ doc_id and text are packed each; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -28,13 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import cut, groups_of, has_columns, ship_package, shuffle_partitions
+from stockflow.llm.common import cut, groups_of, has_columns, releasing, ship_package, shuffle_partitions
 from stockflow.llm.encoding import encoder
 
 CAPACITY = 1024
 # pieces per group, about; a group is one unit of packing in memory
 GROUP_PIECES = 40_000
-ROUNDS = 4
 LENT = 8
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
                     [pa.array(c, t) for c, t in zip(columns[:n], kinds[:n], strict=True)], names=names[:n]
                 )
 
-    return has_columns(docs, "doc_id", "text").mapInArrow(encode, _PIECE + (", ids binary" if with_ids else ""))
+    return has_columns(docs, "doc_id", "text").mapInArrow(releasing(encode), _PIECE + (", ids binary" if with_ids else ""))
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -142,7 +142,7 @@ def _packed(rows: DataFrame, n_groups: Column, round_no: int, capacity: int) ->
             fill = np.bincount(bins, lengths, n_bins).astype(np.int64)
             offset = np.empty(len(bins), np.int64)
             offset[order] = ends - lengths[order] - (np.cumsum(fill) - fill)[bins[order]]
-            number = ((group.column("group")[0].as_py() << 24) + bins) * (2 * ROUNDS) + round_no
+            number = (round_no << 48) + (group.column("group")[0].as_py() << 24) + bins
             gap = n_bins - least_bins(lengths, capacity)
             columns = [group.column(name).combine_chunks() for name in schema.names[:5]]
             added = [number, offset, fill[bins], np.full(len(bins), gap)]
@@ -154,7 +154,7 @@ def _packed(rows: DataFrame, n_groups: Column, round_no: int, capacity: int) ->
         grouped.repartition(shuffle_partitions(rows.sparkSession), "group")
         # in full, so that a repeated task packs the same
         .sortWithinPartitions("group", "doc_id", "piece", "ids_crc32")
-        .mapInArrow(pack, _PIECE + ", sequence_id long, offset long, fill long, gap long")
+        .mapInArrow(releasing(pack), _PIECE + ", sequence_id long, offset long, fill long, gap long")
     )
 
 
@@ -162,11 +162,11 @@ def _groups_for(n: int) -> Column:
     return F.lit(max(1, round(n / GROUP_PIECES))).cast("long")
 
 
-def pack(piece_rows: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
-    """Give each piece its sequence and its place there."""
+def pack(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Give each piece its sequence and its place there; groups exchange while that saves any."""
     rows = cut(piece_rows)
     placed = cut(_packed(rows, _groups_for(rows.count()), 0, capacity))
-    for round_no in range(1, rounds):
+    for round_no in itertools.count(1):
         # whole sequences: all that are not full, and some full ones to exchange with
         lent = F.pmod(F.xxhash64(F.lit(round_no), "sequence_id"), F.lit(LENT)) == 0
         loose = (F.col("gap") > 0) & ((F.col("fill") < capacity) | (lent & (F.col("length") < capacity)))
@@ -178,7 +178,8 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS)
         after = again.agg(F.sum(F.col("length") / F.col("fill"))).first()[0]
         if round(after) >= round(before):
             break
-        placed = placed.where(~loose).unionByName(again)
+        # one table again, so that the plan does not grow with the rounds
+        placed = cut(placed.where(~loose).unionByName(again))
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", (F.col("gap") == 0).alias("certified")
     )

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import has_columns
+from stockflow.llm.common import free_name, has_columns
 
 CONTEXT_CHARS = 40
 CONTEXT_SCORE = 30
@@ -304,14 +304,15 @@ def redacted(text: Column, found: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents, personal data replaced, ``n_chars`` counted again; same columns."""
-    changed = docs.withColumn("__found", F.when(F.col("text").isNotNull(), spans(F.col("text"))))
-    text = F.when(F.size("__found") > 0, redacted(F.col("text"), F.col("__found"))).otherwise(F.col("text"))
+    held = free_name(docs, "__found")
+    changed = docs.withColumn(held, F.when(F.col("text").isNotNull(), spans(F.col("text"))))
+    text = F.when(F.size(held) > 0, redacted(F.col("text"), F.col(held))).otherwise(F.col("text"))
     replaced = changed.withColumn("text", text)
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn(
-            "n_chars", F.when(F.size("__found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+            "n_chars", F.when(F.size(held) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         )
-    return replaced.drop("__found")
+    return replaced.drop(held)
 
 
 def digests(found: DataFrame) -> DataFrame:

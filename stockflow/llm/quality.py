@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.llm.common import WORD, ship_package
+from stockflow.llm.common import WORD, free_name, releasing, ship_package
 
 SAMPLE = 20_000
 MIN_PRECISION = 0.9  # of a rule, on the part that did not grow it
@@ -101,7 +101,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             )
 
     schema = T.StructType([*kept.schema.fields, *(T.StructField(name, T.LongType()) for name in STATISTICS)])
-    return kept.mapInArrow(measure, schema)
+    return kept.mapInArrow(releasing(measure), schema)
 
 
 def base_failed() -> Column:
@@ -264,6 +264,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents worth keeping, with their own columns."""
     rules = learn_from_labels(docs, labels)
-    names = {name: f"__{name}" for name in docs.columns if name.lower() in STATISTICS}
-    own = docs.withColumnsRenamed(names)
+    own, names = docs, {}
+    for name in docs.columns:
+        if name.lower() in STATISTICS:
+            names[name] = free_name(own, f"__{name}")
+            own = own.withColumnRenamed(name, names[name])
     return statistics(own).where(verdict(rules)).drop(*STATISTICS).withColumnsRenamed({v: k for k, v in names.items()})

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockflow.llm.common import cut, has_columns
+from stockflow.llm.common import cut, free_name, has_columns
 
 SHARDS = 16
 SEED = "mix-1"
@@ -110,16 +110,30 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
     )
 
 
+def _copies(rows: DataFrame, doc_id: str, crc: str, number: str, order: list[str]) -> DataFrame:
+    """Numbers the rows of one doc_id and text."""
+    return rows.withColumn(number, F.row_number().over(Window.partitionBy(doc_id, crc).orderBy(*order)))
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: str = SEED) -> None:
     """Write whole documents as Parquet, one folder per shard, in slot order.
 
-    Rows with the same doc_id and text must not differ in other columns. A shard is
-    written by several tasks: slots are cut into ranges, so no task holds a whole shard.
+    Each row is written once, repeated rows too: the copies of one doc_id and text meet their
+    slots by number. The files' columns ``shard`` and ``slot`` are the shard's; columns of
+    these names in ``docs`` are replaced. A shard is written by several tasks: slots are cut
+    into ranges, so no task holds a whole shard.
     """
-    assigned = assign_shards(docs, shards, seed).select("doc_id", "text_crc32", "shard", "slot").distinct()
-    keyed = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))).cast("long"))
-    matched = F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.text_crc32") == F.col("a.text_crc32"))
-    joined = keyed.alias("d").join(assigned.alias("a"), matched).select("d.*", "a.shard", "a.slot").drop("text_crc32")
+    own = docs.drop(*[name for name in docs.columns if name.lower() in ("shard", "slot")])
+    crc, number, doc_id = (free_name(own, f"__{name}") for name in ("crc", "number", "doc_id"))
+    places = assign_shards(docs, shards, seed).select(
+        F.col("doc_id").alias(doc_id), F.col("text_crc32").alias(crc), "shard", "slot"
+    )
+    slots = _copies(places, doc_id, crc, number, ["shard", "slot"])
+    keyed = own.withColumn(doc_id, F.col("doc_id")).withColumn(crc, F.crc32(F.coalesce("text", F.lit(""))).cast("long"))
+    # written, so that a task run again numbers alike copies as before
+    numbered = cut(_copies(keyed, doc_id, crc, number, [crc]))
+    same = [numbered[doc_id].eqNullSafe(slots[doc_id]), numbered[crc] == slots[crc], numbered[number] == slots[number]]
+    joined = numbered.join(slots, same).select(*[numbered[name] for name in own.columns], slots["shard"], slots["slot"])
     (
         joined.repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.llm.bwt import repeated_windows
-from stockflow.llm.common import ship_package
+from stockflow.llm.common import releasing_group, releasing_pair, ship_package
 from stockflow.llm.shingles import mixed, text_slices
 
 WINDOW = 50
@@ -486,12 +486,12 @@ def _run(docs: DataFrame, report, schema) -> DataFrame:
     batched = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)))
     # one shuffle of the texts, read by all three passes over them
     texts = batched.groupBy("batch")
-    asked = texts.applyInArrow(_ask(n_groups), _ASK_DDL)
-    told = asked.groupBy("target").applyInArrow(_tell, _TELL_DDL)
-    opened = texts.cogroup(told.groupBy("target")).applyInArrow(_open(n_groups), _OPEN_DDL)
-    windows = opened.groupBy("target").applyInArrow(_settle, _TELL_DDL)
+    asked = texts.applyInArrow(releasing_group(_ask(n_groups)), _ASK_DDL)
+    told = asked.groupBy("target").applyInArrow(releasing_group(_tell), _TELL_DDL)
+    opened = texts.cogroup(told.groupBy("target")).applyInArrow(releasing_pair(_open(n_groups)), _OPEN_DDL)
+    windows = opened.groupBy("target").applyInArrow(releasing_group(_settle), _TELL_DDL)
     answers = told.unionByName(windows)
-    return texts.cogroup(answers.groupBy("target")).applyInArrow(_finish(n_groups, report), schema)
+    return texts.cogroup(answers.groupBy("target")).applyInArrow(releasing_pair(_finish(n_groups, report)), schema)
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:

@@ -203,3 +203,34 @@ def test_very_many_spans(spark):
     assert found == [[f"ip:{18 * i}:{18 * i + 7}" for i in range(n)], [f"ip:{8 * i}:{8 * i + 7}" for i in range(pii.BLOCK)]]
     texts = [r.text for r in pii.redact(docs).orderBy("doc_id").collect()]
     assert texts == ["[IP] 999.1.1.1 " * n + "end", "[IP] " * pii.BLOCK]
+
+
+def test_written_shards_hold_each_row_once(spark, rows):
+    from stockflow.llm import sharding
+    from stockflow.session import scratch_path
+
+    given = [(1, "same"), (1, "same"), (1, "same"), (2, "other"), (None, None), (None, None)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").withColumn("source", F.lit("a"))
+    clashing = docs.withColumns({name: F.lit("x") for name in ("text_crc32", "SLOT", "__crc", "__number", "__doc_id")})
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(clashing, path, 4)
+    back = spark.read.parquet(path)
+    assert rows(back, "doc_id", "text") == sorted(given, key=repr)
+    places = rows(back, "shard", "slot")
+    assert len(set(places)) == len(given)
+    expected = rows(sharding.assign_shards(docs, 4), "shard", "slot")
+    assert places == expected
+    assert {"text_crc32", "__crc", "__number", "__doc_id"} <= set(back.columns)
+
+
+def test_columns_with_clashing_names_stay(spark):
+    from stockflow.llm import ngram_join, pii, quality
+
+    docs = documents(spark).withColumns(
+        {name: F.lit(7) for name in ("n_words", "__n_words", "__found", "__key", "__rows", "__doc_id", "__text_key")}
+    )
+    labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0)], "doc_id long, quality int, toxic int")
+    for changed in (pii.redact(docs), ngram_join.keep_one_per_group(docs), quality.keep_good(docs, labels)):
+        assert changed.columns == docs.columns
+        for row in changed.collect():
+            assert all(row[name] == 7 for name in docs.columns[5:])
