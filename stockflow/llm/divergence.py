@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import cut, groups_of, ship_package, shuffle_partitions
+from stockflow.llm.common import cut, groups_of, releasing, ship_package, shuffle_partitions
 from stockflow.llm.shingles import text_slices
 from stockflow.llm.word_bytes import LETTERS, LOWER, runs_of
 
@@ -41,7 +41,7 @@ BILLION = 1_000_000_000
 ADDED_COUNT = 5
 BLOCK_TERMS = 64
 TILE_GROUPS = 32
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 HELD_ROWS = 1_000_000  # of a task's counts, before they are handed on
 
 GROUP = ["lang", "source"]
@@ -106,7 +106,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield from merged(held).to_batches()
 
     read = docs.select(*[docs[name].cast("string") for name in ("lang", "source", "text")])
-    partial = read.mapInArrow(count, "lang string, source string, term string, n long, n_docs long")
+    partial = read.mapInArrow(releasing(count), "lang string, source string, term string, n long, n_docs long")
     return partial.groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
 
 
@@ -181,7 +181,7 @@ class Shares:
             "lang", low.alias("low"), high.alias("high"), "tile", "place", "term", "n", "p",
         )
         ordered = named.repartition(shuffle_partitions(named.sparkSession), "unit").sortWithinPartitions("unit", "place", "term")
-        priced = ordered.mapInArrow(_price_units, "lang string, a int, b int, value long, covered long")
+        priced = ordered.mapInArrow(releasing(_price_units), "lang string, a int, b int, value long, covered long")
         return priced.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("covered").alias("covered"))
 
     def pairs(self, **sizes: int) -> DataFrame:
