@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,7 @@ from stockflow.sources import (
     updated_since,
 )
 from stockflow.sources import feed
+from stockflow.sources.files import folder_exists
 from stockflow.streaming import stream_pages_to_raw
 
 LOADING_QUERIES: dict = {}
@@ -468,6 +470,59 @@ def failed_check_stops(spark, folder):
     return spark.createDataFrame([row], "status string, failed_step string, message string, steps_run int")
 
 
+class _Second(_Spoiled):
+    """A second run: only every second order line is there, and some customers lost their id."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "order_lines":
+            return self.warehouse[name].where(F.col("order_line_id") % 2 == 0)
+        if name == "customers":
+            rows = self.warehouse[name]
+            return rows.withColumn("customer_id", F.when(F.col("customer_id") % 5 != 0, F.col("customer_id")))
+        return super().__getitem__(name)
+
+
+class _First(_Spoiled):
+    """A first run over the whole warehouse."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        staged = name in {model.name for model in STAGING_MODELS}
+        return self.warehouse[name] if staged else StoredTables.__getitem__(self, name)
+
+
+_KEPT = {"fact_sales": "order_line_id", "dim_products": "product_id", "dim_customers": "customer_id"}
+
+
+@query(
+    "\nUNION ALL ".join(
+        f"SELECT 'failed' AS second_run, 'dim_customers' AS failed_step, '{model}' AS model, count(*) AS row_count, "
+        f"CAST(sum({key}) AS BIGINT) AS key_sum FROM ({MODEL_SQL[model]})"
+        for model, key in _KEPT.items()
+    )
+)
+def failed_check_keeps_old(spark, folder):
+    """After a run whose last check fails, every table still shows the run before, those
+    that passed their own checks included."""
+    warehouse = open_warehouse(spark, folder)
+    store = TableStore(spark, scratch_path(spark, "published"))
+    first = run_marts(_First(store, warehouse), list(_KEPT))
+    if not first.ok:
+        raise RuntimeError(first.error_message)
+    second = run_marts(_Second(store, warehouse), list(_KEPT))
+    found = None
+    for model, key in _KEPT.items():
+        rows = store.read(model).agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).cast("bigint").alias("key_sum"))
+        rows = rows.select(
+            F.lit(second.status).alias("second_run"),
+            F.lit(second.failed_step).alias("failed_step"),
+            F.lit(model).alias("model"),
+            "row_count",
+            "key_sum",
+        )
+        found = rows if found is None else found.union(rows)
+    return found
+
+
 @query(
     "WITH report AS (" + MODEL_SQL["negative_stock"] + """)
 SELECT row_number() OVER (ORDER BY location_name NULLS FIRST, available_quantity NULLS FIRST, product_title NULLS FIRST,
@@ -520,3 +575,30 @@ def stream_then_batch(spark, folder):
         )
         found = raw if found is None else found.union(raw)
     return found
+
+
+class _Failing(TableStore):
+    """A store whose commits of some batches fail the first time: rows written, number not."""
+
+    def _commit(self, change):
+        if not folder_exists(self.path("failed-once")):
+            self.spark.range(1).write.parquet(self.path("failed-once"))
+            raise OSError("commit lost")
+        super()._commit(change)
+
+
+@query(with_ctes((CUST_VERSION,), """
+SELECT true AS first_run_failed, CAST(customer_id AS VARCHAR) AS record_id, count(*) AS raw_rows
+FROM cust_version GROUP BY customer_id
+"""))
+def stream_after_failure(spark, folder):
+    """A stream that loses the commit of a batch is started again: every raw row is there once."""
+    landing = landed_customers(spark, folder)
+    store, job, failed = _Failing(prepare(spark), scratch_path(spark, "failing")), IngestJob("customer"), False
+    try:
+        stream_pages_to_raw(spark, landing, store, job, files_per_batch=1).awaitTermination()
+    except StreamingQueryException:
+        failed = True
+    stream_pages_to_raw(spark, landing, store, job).awaitTermination()
+    counted = store.read(job.table).groupBy("record_id").agg(F.count(F.lit(1)).alias("raw_rows"))
+    return counted.select(F.lit(failed).alias("first_run_failed"), "record_id", "raw_rows")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from copy import copy
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -120,6 +121,12 @@ class StoredTables(Mapping):
         self.store = store
         self.cfg = cfg
 
+    def on(self, store: TableStore) -> StoredTables:
+        """The same tables, read from and written to another store."""
+        other = copy(self)
+        other.store = store
+        return other
+
     def __getitem__(self, name: str) -> DataFrame:
         model = MODELS.get(name)
         if model is not None and model.kind == VIEW:
@@ -155,9 +162,15 @@ def stored_layout(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def build_model(model: Model, tables: StoredTables) -> LoadResult:
-    """Replace the stored table of a model; a view is registered under its name."""
+    """Replace the stored table of a model; a view is only planned, see ``register_views``."""
     rows = model.build(tables, tables.cfg)
     if model.kind == VIEW:
-        rows.createOrReplaceTempView(model.name)
         return LoadResult(model.name, "success", 0)
     return tables.store.replace(model.name, stored_layout(model, rows))
+
+
+def register_views(models: Iterable[Model], tables: StoredTables) -> None:
+    """Register the views among some models in the session, under their names."""
+    for model in models:
+        if model.kind == VIEW:
+            tables[model.name].createOrReplaceTempView(model.name)

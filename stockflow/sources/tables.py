@@ -1,27 +1,28 @@
 """Parquet tables under one root folder, and the outcome of a load.
 
-A table that is only appended to is a folder of that name. A replace writes a folder of its
-own and then appends one row to the table's list of versions, which is a single commit: the
-row with the highest number says where the table is. So a replace that fails at any point
-leaves the old table, and a reader that began on an older version can finish.
+Every load writes a folder of its own, which becomes part of its table, or takes the place of
+all its parts, by one commit of the store. So a load that fails at any point leaves the table as
+it was, two writers lose nothing of each other, and a reader that began on an older state can
+finish.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.sources.files import delete_folder, folder_exists, folders_in
+from stockflow.sources.commits import Change, CommitLog, Snapshot
+from stockflow.sources.files import changed_at, delete_folder, folder_bytes, folder_exists, folders_in
 
 SUCCESS = "success"
 FAILED = "failed"
-# load disposition -> save mode
-DISPOSITIONS = {"append": "append", "truncate": "overwrite", "empty": "error"}
+# add to the table, take its place, or fail if it exists
+DISPOSITIONS = ("append", "truncate", "empty")
 
 
 @dataclass(frozen=True)
@@ -39,8 +40,13 @@ class LoadResult:
         return self.status == SUCCESS
 
 
-VERSIONS = T.StructType([T.StructField("number", T.LongType()), T.StructField("folder", T.StringType())])
-_LIST, _VERSION = ".versions", ".v-"
+_VERSION = ".v-"
+# parts below this size are joined into one once there are so many of them
+SMALL_BYTES = 128 << 20
+SMALL_PARTS = 20
+# commits that stay on record; a folder that none of them names goes after a day
+COMMITS_KEPT = 200
+LEFTOVER_AGE = timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -53,25 +59,36 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _newest(self, name: str) -> tuple[int, str]:
-        """Number and folder of the version that counts; 0 and the plain folder before any replace."""
-        if not folder_exists(self.path(name + _LIST)):
-            return 0, name
-        versions = self.spark.read.schema(VERSIONS).parquet(self.path(name + _LIST))
-        return versions.agg(F.max(F.struct("number", "folder")).alias("last")).first()["last"] or (0, name)
+    @property
+    def _log(self) -> CommitLog:
+        return CommitLog(self.path(".commits"))
+
+    def _seen(self) -> Snapshot:
+        """The commit that reads go by."""
+        return self._log.newest()
+
+    def _commit(self, change: Change) -> None:
+        self._log.commit(change)
+
+    def _parts(self, name: str, seen: Snapshot) -> list[str]:
+        """Folders of a table; one that no commit names is the folder of its name, if any."""
+        return seen.tables.get(name) or ([name] if folder_exists(self.path(name)) else [])
 
-    def location(self, name: str) -> str:
+    def exists(self, name: str) -> bool:
+        return bool(self._parts(name, self._seen()))
+
+    def locations(self, name: str) -> list[str]:
         """Where the table is now."""
-        return self.path(self._newest(name)[1])
+        return [self.path(folder) for folder in self._parts(name, self._seen()) or [name]]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location(name))
+        return self.spark.read.parquet(*self.locations(name))
 
-    def read_or_create(self, name: str, schema: T.StructType) -> DataFrame:
-        """The table; an empty one is written first if there is none."""
-        place = self.location(name)
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(place)
-        return self.spark.read.schema(schema).parquet(place)
+    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
+        """The table, or no rows if there is none yet."""
+        if not self.exists(name):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*self.locations(name))
 
     def load(
         self,
@@ -79,50 +96,123 @@ class TableStore:
         rows: DataFrame,
         disposition: str = "append",
         track: Column | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> LoadResult:
         """Write ``rows`` and report how many; an error becomes a FAILED result.
 
-        The count, and the maximum of ``track``, are taken while writing.
+        The count, and the maximum of ``track``, are taken while writing. ``batch`` names a
+        stream and the number of one of its batches, which rise: rows and number become part of
+        the table by one commit, and a batch that the table holds is not loaded again.
         """
+        if disposition not in DISPOSITIONS:
+            raise ValueError(f"disposition {disposition!r} is none of {', '.join(DISPOSITIONS)}")
         seen = Observation(f"load-{uuid.uuid4().hex}")
         measures = [F.count(F.lit(1)).alias("rows")]
         if track is not None:
             # without zone: Python would otherwise turn it into the driver's local time
             measures.append(F.max(track.cast("timestamp_ntz")).alias("latest"))
-        mode = DISPOSITIONS[disposition]
+        folder = f"{name}{_VERSION}{uuid.uuid4().hex}"
+
+        def change(now: Snapshot) -> Snapshot:
+            if batch and now.holds(name, *batch):
+                return now
+            before = [] if disposition == "truncate" else self._parts(name, now)
+            if before and disposition == "empty":
+                raise FileExistsError(f"table {name} exists")
+            after = now.with_tables({name: [*before, folder]})
+            return after.with_batch(name, *batch) if batch else after
+
         try:
-            number, folder = self._newest(name)
-            if mode == "overwrite":
-                folder, mode = f"{name}{_VERSION}{uuid.uuid4().hex}", "error"
-                rows.observe(seen, *measures).write.mode(mode).parquet(self.path(folder))
-                found = seen.get
-                self._switch(name, number + 1, folder)
-            else:
-                rows.observe(seen, *measures).write.mode(mode).parquet(self.path(folder))
-                found = seen.get
+            # before the write: a batch loaded earlier, or a table that may not be there
+            now = self._seen()
+            if change(now) is now:
+                return LoadResult(name, SUCCESS, 0)
+            rows.observe(seen, *measures).write.mode("error").parquet(self.path(folder))
+            found = seen.get
+            self._commit(change)
         except Exception as error:
             return LoadResult(name, FAILED, 0, str(error))
         return LoadResult(name, SUCCESS, found["rows"], latest=found.get("latest"))
 
-    def _switch(self, name: str, number: int, folder: str) -> None:
-        """Make a finished version the one that counts."""
-        row = self.spark.createDataFrame([(number, folder)], VERSIONS)
-        row.coalesce(1).write.mode("append").parquet(self.path(name + _LIST))
-
     def replace(self, name: str, rows: DataFrame) -> LoadResult:
         """Full refresh: the table holds exactly ``rows`` afterwards, or, if that fails,
         what it held before."""
         return self.load(name, rows, "truncate")
 
-    def remove_superseded(self, name: str, keep: int = 2) -> None:
-        """Delete all but the newest versions of a table, and what failed replaces left.
+    def draft(self) -> Draft:
+        """A place to build tables that readers see only once all of them are published."""
+        return Draft(self.spark, self.root, self._seen())
+
+    def join_small_parts(self, name: str, parts: int = SMALL_PARTS) -> None:
+        """Join the small parts of an appended table into one, if there are ``parts`` of them.
 
-        The version before the current one stays by default, for readers that began on it.
+        Large parts are not written again. Readers that began on the small ones can finish:
+        these stay until they are superseded twice.
         """
-        if self._newest(name)[0] == 0:
+        small = {}
+        for folder in self._parts(name, self._seen()):
+            size = folder_bytes(self.path(folder))
+            if size < SMALL_BYTES:
+                small[folder] = size
+        if len(small) < max(parts, 2):
             return
-        versions = self.spark.read.schema(VERSIONS).parquet(self.path(name + _LIST))
-        kept = {row["folder"] for row in versions.orderBy(F.col("number").desc()).limit(keep).collect()}
-        for folder in folders_in(self.root):
-            if folder.startswith(name + _VERSION) and folder not in kept:
-                delete_folder(self.path(folder))
+        joined = f"{name}{_VERSION}{uuid.uuid4().hex}"
+        rows = self.spark.read.option("mergeSchema", True).parquet(*map(self.path, small))
+        rows.coalesce(1 + sum(small.values()) // SMALL_BYTES).write.mode("error").parquet(self.path(joined))
+
+        def change(now: Snapshot) -> Snapshot:
+            here = self._parts(name, now)
+            if not small.keys() <= set(here):
+                # replaced or joined by someone else meanwhile
+                return now
+            return now.with_tables({name: [*(folder for folder in here if folder not in small), joined]})
+
+        self._commit(change)
+
+    def remove_superseded(self, *names: str, keep: int = 2) -> None:
+        """Delete the folders of tables that none of their newest ``keep`` states names.
+
+        The state before the current one stays by default, for readers that began on it. A
+        folder that no commit names may be one that is being written, so it must be a day old.
+        """
+        states: dict[str, list[list[str]]] = {name: [] for name in names}
+        for snapshot in self._log.history():
+            for name, found in states.items():
+                folders = snapshot.tables.get(name)
+                if folders and (not found or folders != found[-1]):
+                    found.append(folders)
+        there = folders_in(self.root)
+        aged = datetime.now(timezone.utc) - LEFTOVER_AGE
+        for name, found in states.items():
+            kept = {folder for folders in found[:keep] for folder in folders}
+            superseded = {folder for folders in found[keep:] for folder in folders}
+            for folder in there:
+                if folder.startswith(name + _VERSION) and folder not in kept:
+                    if folder in superseded or (changed_at(self.path(folder)) or aged) < aged:
+                        delete_folder(self.path(folder))
+        self._log.forget(COMMITS_KEPT)
+
+
+@dataclass(frozen=True, eq=False)
+class Draft(TableStore):
+    """Replacements of tables that only the draft shows, until ``publish`` makes all of them
+    count by one commit. Other tables are read as they were when the draft began."""
+
+    base: Snapshot = Snapshot()
+    pending: dict[str, list[str]] = field(default_factory=dict)
+
+    def _seen(self) -> Snapshot:
+        return self.base.with_tables(self.pending)
+
+    def _commit(self, change: Change) -> None:
+        before = self._seen()
+        after = change(before).tables
+        self.pending.update({name: after[name] for name in after if after[name] != before.tables.get(name)})
+
+    def load(self, name, rows, disposition="append", track=None, batch=None) -> LoadResult:
+        if disposition != "truncate":
+            raise ValueError("a draft takes replacements only")
+        return super().load(name, rows, disposition, track)
+
+    def publish(self) -> None:
+        self._log.commit(lambda now: now.with_tables(self.pending) if self.pending else now)

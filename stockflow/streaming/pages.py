@@ -2,37 +2,26 @@
 
 The checkpoint of the stream remembers which files were loaded, in place of the
 cursor of the batch jobs. A micro-batch is appended like a batch load, so streamed and
-batch-loaded rows are one table, and its number is recorded: one that is repeated after
-a failure is not loaded again. If the failure came between the two, its records come
-twice, and staging keeps one of them.
+batch-loaded rows are one table. Its rows and its number become part of the table by one
+commit, so a batch that is repeated after a failure, at whatever point, is loaded once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stockflow.plans.ingest import IngestJob, pages_to_raw
 from stockflow.schemas import PAGE
 from stockflow.sources.tables import TableStore
 
-LOADED_BATCHES = T.StructType(
-    [T.StructField("landing", T.StringType()), T.StructField("batch_id", T.LongType())]
-)
-
-
 def append_batch(rows: DataFrame, batch_id: int, landing: str, store: TableStore, job: IngestJob) -> None:
-    """Append one micro-batch, unless it was already."""
-    log = f"{job.table}_batches"
-    loaded = store.read_or_create(log, LOADED_BATCHES)
-    if loaded.where((F.col("landing") == landing) & (F.col("batch_id") == batch_id)).isEmpty():
-        result = store.load(job.table, rows)
-        if not result.ok:
-            raise RuntimeError(result.error_message)
-        row = rows.sparkSession.createDataFrame([(landing, batch_id)], LOADED_BATCHES)
-        row.coalesce(1).write.mode("append").parquet(store.location(log))
+    """Append one micro-batch, unless the table holds it."""
+    result = store.load(job.table, rows, batch=(landing, batch_id))
+    if not result.ok:
+        raise RuntimeError(result.error_message)
+    store.join_small_parts(job.table)
 
 
 def stream_pages_to_raw(

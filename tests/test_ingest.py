@@ -201,7 +201,7 @@ def test_a_failed_switch_keeps_the_old_table(spark, store, monkeypatch):
     def broken(self, *version):
         raise OSError("store is away")
 
-    monkeypatch.setattr(TableStore, "_switch", broken)
+    monkeypatch.setattr(TableStore, "_commit", broken)
     result = store.replace("t", spark.range(9))
     assert (result.status, result.error_message) == ("failed", "store is away")
     assert store.read("t").count() == 3
