@@ -24,7 +24,7 @@ from registry.models import MODEL_SQL
 from registry.warehouse import open_warehouse, present
 from stockflow.functions import safe_long
 from stockflow.functions.dates import instant
-from stockflow.operators import upsert
+from stockflow.operators import latest_by, upsert
 from stockflow.plans.ingest import (
     IngestJob,
     ingest,
@@ -33,7 +33,7 @@ from stockflow.plans.ingest import (
     pages_to_raw,
     record_run,
 )
-from stockflow.plans.models import MART_MODELS, STAGING_MODELS, TABLE, StoredTables, with_display_position
+from stockflow.plans.models import MART_MODELS, MODELS, STAGING_MODELS, TABLE, StoredTables, with_display_position
 from stockflow.plans.quality import quality_report
 from stockflow.plans.refresh import run_daily_refresh, run_marts
 from stockflow.session import prepare, scratch_path
@@ -577,6 +577,27 @@ def stream_then_batch(spark, folder):
     return found
 
 
+@query(MODEL_SQL["stg_products"])
+def staged_by_merge(spark, folder):
+    """Products staged from two deliveries: each one is ranked alone and merged into the key
+    buckets that it touches, where the latest version of a product stays. The newer comes first,
+    so that a late delivery of older versions must not win."""
+    raw = open_warehouse(spark, folder)["raw_products"]
+    store = TableStore(spark, scratch_path(spark, "merged"))
+    newer = F.to_date("extracted_at") == F.lit(NOW).cast("date")
+
+    def latest(old: DataFrame, new: DataFrame) -> DataFrame:
+        order = [F.col("payload").asc(), F.col("source").asc(), F.col("entity").asc()]
+        return latest_by(old.unionByName(new), ["product_key"], [F.col("extracted_at").desc()], order)
+
+    for delivery in (raw.where(newer), raw.where(~newer)):
+        staged = MODELS["products"].build({"raw_products": delivery}, feed.FEED_CONFIG)
+        result = store.merge("products", staged, ["product_key"], latest)
+        if not result.ok:
+            raise RuntimeError(result.error_message)
+    return present(store.read("products"))
+
+
 class _Failing(TableStore):
     """A store whose commits of some batches fail the first time: rows written, number not."""
 

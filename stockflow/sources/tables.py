@@ -9,6 +9,7 @@ finish.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockflow.operators.upsert import upsert
 from stockflow.sources.commits import Change, CommitLog, Snapshot
 from stockflow.sources.files import changed_at, delete_folder, folder_bytes, folder_exists, folders_in
 
@@ -47,6 +49,11 @@ SMALL_PARTS = 20
 # commits that stay on record; a folder that none of them names goes after a day
 COMMITS_KEPT = 200
 LEFTOVER_AGE = timedelta(days=1)
+MERGE_ATTEMPTS = 5
+
+
+class _Overtaken(Exception):
+    """The parts that a merge read are no longer those of its table."""
 
 
 @dataclass(frozen=True)
@@ -139,6 +146,58 @@ class TableStore:
         what it held before."""
         return self.load(name, rows, "truncate")
 
+    def merge(
+        self,
+        name: str,
+        rows: DataFrame,
+        keys: list[str],
+        combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+        buckets: int = 64,
+    ) -> LoadResult:
+        """Merge ``rows`` into a table that is kept in buckets of its keys.
+
+        Only the buckets that ``rows`` touch are read, combined and written again; the files of
+        the others stay as they are. ``combine`` gets the stored and the new rows of these
+        buckets; by default new rows take the place of stored ones with equal keys. ``rows`` are
+        read twice: for the numbers of their buckets, of which there are at most ``buckets``, and
+        to be merged. A merge that another writer overtook starts again.
+        """
+        field_name = f"__bucket_of_{buckets}"
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+        combine = combine or (lambda old, new: upsert(old, new, keys))
+        try:
+            touched = {f"{field_name}={row[0]}" for row in rows.select(bucket).distinct().collect()}
+            for _ in range(MERGE_ATTEMPTS):
+                before = self._parts(name, self._seen())
+                if any(f"/{field_name}=" not in part for part in before):
+                    raise ValueError(f"table {name} is not kept in {buckets} buckets")
+                stale = [part for part in before if part.rpartition("/")[2] in touched]
+                old = self.spark.createDataFrame([], rows.schema)
+                if stale:
+                    old = self.spark.read.schema(rows.schema).parquet(*map(self.path, stale))
+                folder, seen = f"{name}{_VERSION}{uuid.uuid4().hex}", Observation(f"merge-{uuid.uuid4().hex}")
+                merged = combine(old, rows).observe(seen, F.count(F.lit(1)).alias("rows"))
+                # a bucket goes to one task, or to several if it is large
+                merged.withColumn(field_name, bucket).hint("rebalance", F.col(field_name)).write.partitionBy(
+                    field_name
+                ).parquet(self.path(folder))
+                fresh = [f"{folder}/{part}" for part in folders_in(self.path(folder)) if "=" in part]
+
+                def change(now: Snapshot) -> Snapshot:
+                    if self._parts(name, now) != before:
+                        raise _Overtaken(f"merge into {name} was overtaken {MERGE_ATTEMPTS} times")
+                    kept = [part for part in before if part not in stale]
+                    return now.with_tables({name: [*kept, *fresh]})
+
+                try:
+                    self._commit(change)
+                    return LoadResult(name, SUCCESS, seen.get["rows"])
+                except _Overtaken as error:
+                    lost = error
+            raise lost
+        except Exception as error:
+            return LoadResult(name, FAILED, 0, str(error))
+
     def draft(self) -> Draft:
         """A place to build tables that readers see only once all of them are published."""
         return Draft(self.spark, self.root, self._seen())
@@ -186,6 +245,10 @@ class TableStore:
         for name, found in states.items():
             kept = {folder for folders in found[:keep] for folder in folders}
             superseded = {folder for folders in found[keep:] for folder in folders}
+            for bucket in superseded - kept:
+                if "/" in bucket:
+                    delete_folder(self.path(bucket))
+            kept, superseded = ({folder.partition("/")[0] for folder in some} for some in (kept, superseded))
             for folder in there:
                 if folder.startswith(name + _VERSION) and folder not in kept:
                     if folder in superseded or (changed_at(self.path(folder)) or aged) < aged:
@@ -214,5 +277,8 @@ class Draft(TableStore):
             raise ValueError("a draft takes replacements only")
         return super().load(name, rows, disposition, track)
 
+    def merge(self, name, rows, keys, combine=None, buckets=64) -> LoadResult:
+        raise ValueError("a draft takes replacements only")
+
     def publish(self) -> None:
         self._log.commit(lambda now: now.with_tables(self.pending) if self.pending else now)

@@ -175,3 +175,40 @@ def test_a_stream_that_fails_after_its_commit_goes_on(spark, store, tmp_path, mo
     monkeypatch.setattr(TableStore, "join_small_parts", join)
     stream_pages_to_raw(spark, str(tmp_path), store, PRODUCT, files_per_batch=1).awaitTermination()
     assert sorted(r.record_id for r in store.read("raw_products").select(F.col("record_id")).collect()) == ["0", "1", "2"]
+
+
+def _files(store, name):
+    return {f"{part}/{one}" for part in store.locations(name) for one in files_in(part)}
+
+
+def test_a_merge_leaves_untouched_buckets_alone(spark, store):
+    rows = spark.range(200).withColumn("value", F.lit("old"))
+    assert store.merge("t", rows, ["id"], buckets=8).rows_loaded == 200
+    before = _files(store, "t")
+    delta = spark.createDataFrame([(7, "new"), (1000, "new")], "id bigint, value string")
+    assert store.merge("t", delta, ["id"], buckets=8).ok
+    kept = _files(store, "t") & before
+    assert len(before) * 6 / 8 <= len(kept) < len(before)
+    found = {r.id: r.value for r in store.read("t").collect()}
+    assert store.read("t").columns == ["id", "value"] and store.read("t").count() == 201
+    assert {n for n, value in found.items() if value == "new"} == {7, 1000}
+    # folders go with the second merge after, and only the buckets that were written again
+    for _ in range(2):
+        assert store.merge("t", delta, ["id"], buckets=8).ok
+        store.remove_superseded("t")
+    assert store.read("t").count() == 201 and kept <= _files(store, "t")
+    assert store.merge("t", delta, ["id"], buckets=4).status == "failed"
+
+
+def test_merges_at_the_same_time_lose_nothing(spark, store):
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(lambda n: store.merge("t", spark.range(n, n + 5), ["id"], buckets=2), (0, 5, 10)))
+    assert [one.error_message for one in found] == [None] * 3
+    assert sorted(r.id for r in store.read("t").collect()) == list(range(15))
+
+
+def test_an_empty_merge_and_null_keys(spark, store):
+    rows = spark.createDataFrame([(None, "a"), (1, "b")], "id bigint, value string")
+    assert store.merge("t", rows, ["id"], buckets=2).ok
+    assert store.merge("t", rows.where("false"), ["id"], buckets=2).ok
+    assert sorted(map(tuple, store.read("t").collect()), key=repr) == [(1, "b"), (None, "a")]
