@@ -160,13 +160,15 @@ class TableStore:
         the others stay as they are. ``combine`` gets the stored and the new rows of these
         buckets; by default new rows take the place of stored ones with equal keys. ``rows`` are
         read twice: for the numbers of their buckets, of which there are at most ``buckets``, and
-        to be merged. A merge that another writer overtook starts again.
+        to be merged; without any, nothing changes. NULL keys equal nothing. A merge that another writer overtook starts again.
         """
         field_name = f"__bucket_of_{buckets}"
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
         combine = combine or (lambda old, new: upsert(old, new, keys))
         try:
             touched = {f"{field_name}={row[0]}" for row in rows.select(bucket).distinct().collect()}
+            if not touched:
+                return LoadResult(name, SUCCESS, 0)
             for _ in range(MERGE_ATTEMPTS):
                 before = self._parts(name, self._seen())
                 if any(f"/{field_name}=" not in part for part in before):
@@ -176,11 +178,10 @@ class TableStore:
                 if stale:
                     old = self.spark.read.schema(rows.schema).parquet(*map(self.path, stale))
                 folder, seen = f"{name}{_VERSION}{uuid.uuid4().hex}", Observation(f"merge-{uuid.uuid4().hex}")
-                merged = combine(old, rows).observe(seen, F.count(F.lit(1)).alias("rows"))
                 # a bucket goes to one task, or to several if it is large
-                merged.withColumn(field_name, bucket).hint("rebalance", F.col(field_name)).write.partitionBy(
-                    field_name
-                ).parquet(self.path(folder))
+                merged = combine(old, rows).withColumn(field_name, bucket).hint("rebalance", F.col(field_name))
+                counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"))
+                counted.write.partitionBy(field_name).parquet(self.path(folder))
                 fresh = [f"{folder}/{part}" for part in folders_in(self.path(folder)) if "=" in part]
 
                 def change(now: Snapshot) -> Snapshot:

@@ -212,3 +212,5 @@ def test_an_empty_merge_and_null_keys(spark, store):
     assert store.merge("t", rows, ["id"], buckets=2).ok
     assert store.merge("t", rows.where("false"), ["id"], buckets=2).ok
     assert sorted(map(tuple, store.read("t").collect()), key=repr) == [(1, "b"), (None, "a")]
+    assert store.merge("t", rows, ["id"], lambda old, new: new.where("false"), 2).ok
+    assert store.read_or_empty("t", rows.schema).count() == 0
