@@ -40,3 +40,9 @@ def test_tables_are_written_small(spark, store):
     folder = store.locations("numbers")[0]
     names = [row[0] for row in spark.read.format("binaryFile").load(folder).select("path").collect()]
     assert folders_in(store.root) and names and all(name.endswith(".zstd.parquet") for name in names)
+
+
+def test_files_of_a_table_have_bounded_rows(spark, store):
+    assert store.replace("numbers", spark.range(0, 250_000, 1, 1)).ok
+    files = store.read("numbers").groupBy("_metadata.file_path").count().select("count").collect()
+    assert sorted(row[0] for row in files) == [50_000, 100_000, 100_000]
