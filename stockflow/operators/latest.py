@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROW = "__row"
+_FILE = "__file"
+_INDEX = "__index"
+_TIED = "__tied"
 
 
 def latest_by(
@@ -21,3 +25,50 @@ def latest_by(
     """
     window = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
     return df.withColumn(_ROW, F.row_number().over(window)).where(F.col(_ROW) == 1).drop(_ROW)
+
+
+def _located(rows: DataFrame) -> DataFrame | None:
+    """Rows with their file and their place in it, if they are those of a Parquet table."""
+    try:
+        # from 1 on, as bitmaps count
+        index = (F.col("_metadata.row_index") + 1).alias(_INDEX)
+        return rows.select("*", F.col("_metadata.file_path").alias(_FILE), index)
+    except AnalysisException:
+        return None
+
+
+def latest_of_wide(
+    rows: DataFrame, keys: list[str], newest: Column, tiebreak: list[Column]
+) -> DataFrame:
+    """:func:`latest_by` with the highest ``newest`` first, for a stored table of wide rows:
+    only keys, ``newest`` and the place of a row in its file are shuffled and sorted.
+
+    The places found come back as one bit per row of the table, broadcast, and each file gives
+    its own rows. Rows that share the highest ``newest`` of a key are told apart by ``tiebreak``,
+    for which they alone are shuffled whole.
+    """
+    located = _located(rows)
+    if located is None:
+        return latest_by(rows, keys, [newest.desc()], tiebreak)
+    by_key = Window.partitionBy(*keys)
+    first = (
+        located.select(*keys, newest.alias("__newest"), _FILE, _INDEX)
+        .withColumn(_ROW, F.rank().over(by_key.orderBy(F.col("__newest").desc())))
+        .where(F.col(_ROW) == 1)
+        .withColumn(_TIED, F.count(F.lit(1)).over(by_key) > 1)
+    )
+
+    def rows_at(places: DataFrame) -> DataFrame:
+        bucket, position = F.bitmap_bucket_number(_INDEX), F.bitmap_bit_position(_INDEX)
+        # by file first: grouped where they are, every task would make a bitmap of every file
+        of_file = places.select(_FILE, _INDEX).repartition(_FILE)
+        bitmaps = of_file.groupBy(F.col(_FILE).alias("__of"), bucket.alias("__bucket")).agg(
+            F.bitmap_construct_agg(position).alias("__bits")
+        )
+        byte = F.conv(F.hex(F.substr("__bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        found = (F.col(_FILE) == F.col("__of")) & (bucket == F.col("__bucket"))
+        marked = F.getbit(byte, (position % 8).cast("int")) == 1
+        return located.join(F.broadcast(bitmaps), found & marked).select(*rows.columns)
+
+    alone, tied = rows_at(first.where(~F.col(_TIED))), rows_at(first.where(_TIED))
+    return alone.unionByName(latest_by(tied, keys, [newest.desc()], tiebreak))

@@ -23,7 +23,7 @@ from stockflow.functions import (
     safe_ts,
     trim_blanks,
 )
-from stockflow.operators import explode_json_array, latest_by
+from stockflow.operators import explode_json_array, latest_by, latest_of_wide
 
 Tables = Mapping[str, DataFrame]
 ENVELOPE = ["source", "entity", "extracted_at", "payload"]
@@ -167,11 +167,10 @@ ORDER_ARRAYS = ("line_items", "shipping_lines", "refunds")
 
 
 def orders(t: Tables, cfg: RetailConfig) -> DataFrame:
-    # the payload is by far the widest column: its arrays are kept beside it, so that order
-    # lines and daily sales each read their own and parse the whole no more
-    parsed = parse_payload(
-        _latest_raw(t["raw_orders"]), "payload", schemas.ORDER, ["record_id", *ENVELOPE], lists=ORDER_ARRAYS
-    )
+    # the payload is by far the widest column: it crosses no shuffle, and its arrays are kept beside
+    # it, so that order lines and daily sales each read their own and parse the whole no more
+    latest = latest_of_wide(t["raw_orders"], ["record_id"], F.col("extracted_at"), _raw_tiebreak())
+    parsed = parse_payload(latest, "payload", schemas.ORDER, ["record_id", *ENVELOPE], lists=ORDER_ARRAYS)
     typed = _typed(
         parsed,
         total_price=safe_money,

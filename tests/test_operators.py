@@ -10,6 +10,7 @@ from stockflow.operators import (
     explode_json_array,
     global_rank,
     latest_by,
+    latest_of_wide,
     pivot_fixed,
     unique_winner,
     upsert,
@@ -94,3 +95,24 @@ def test_checks_of_an_empty_table(spark, rows, column):
     df = spark.createDataFrame([], "k int")
     assert rows(check_not_null(df, "m", [column])) == [("m", "k", "not_null", 0)]
     assert rows(check_unique(df, "m", column)) == [("m", "k", "unique", 0)]
+
+
+def test_latest_of_wide_equals_latest_by_of_a_stored_table(spark, store, rows):
+    # several files, versions without a time, rows that tie, a key that is NULL
+    versions = spark.range(0, 6000, 1, 3).select(
+        (F.col("id") % 2500).cast("string").alias("k"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") * 17 % 13).cast("timestamp")).alias("t"),
+        F.concat(F.lit("p"), (F.col("id") * 31 % 1000).cast("string")).alias("payload"),
+    )
+    alike = spark.sql("SELECT CAST(NULL AS STRING) k, timestamp_seconds(3) t, explode(array('b', 'a', 'a')) payload")
+    assert store.replace("versions", versions.union(alike)).ok
+    stored = store.read("versions")
+    assert stored.select("_metadata.file_path").distinct().count() > 1
+    payload = [F.col("payload").asc()]
+    expected = rows(latest_by(stored, ["k"], [F.col("t").desc()], payload))
+    assert rows(latest_of_wide(stored, ["k"], F.col("t"), payload)) == expected
+    assert len(expected) == 2501 and (None, "a") in {(k, p) for k, _, p in expected}
+    # rows that are in no files
+    assert rows(latest_of_wide(versions, ["k"], F.col("t"), payload)) == rows(
+        latest_by(versions, ["k"], [F.col("t").desc()], payload)
+    )
