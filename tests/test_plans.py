@@ -77,3 +77,17 @@ def test_payloads_of_orders_are_parsed_once(plan_of):
 def test_latest_versions_are_chosen_before_the_shuffle(plan_of):
     for name in ("products", "locations", "inventory_levels", "orders", "order_lines", "product_variants"):
         assert "row_number(), 1, Partial" in plan_of(name)
+
+
+def test_payloads_of_orders_cross_no_shuffle(plan_of):
+    plan = plan_of("orders")
+    # rows with the one latest version of their record: read, and their places broadcast
+    alone = plan[plan.index("Union") : plan.index("BroadcastExchange")]
+    assert "FileScan" in alone and "Exchange hashpartitioning" not in alone
+    places = plan[plan.index("BroadcastExchange") :].split("BroadcastHashJoin")[0]
+    assert "Exchange hashpartitioning(record_id" in places and "payload" not in places.split("FileScan")[0]
+
+
+def test_order_lines_cross_the_shuffle_without_their_texts(plan_of):
+    below = plan_of("order_lines").partition("Exchange hashpartitioning(order_line_id")[2]
+    assert below and " AS sku" not in below and " AS vendor" not in below
