@@ -35,9 +35,11 @@ def to_envelope(
 def phones_as_text(item: Column) -> Column:
     """Numbers under a key "phone", at any depth, become strings.
 
-    Inside a JSON string quotes are escaped, so only real keys can match.
+    Inside a JSON string quotes are escaped, so only real keys can match. Texts without such a
+    key skip the pattern.
     """
-    return F.regexp_replace(item, r'"phone"\s*:\s*(-?\d[\d.eE+-]*)', r'"phone":"$1"')
+    changed = F.regexp_replace(item, r'"phone"\s*:\s*(-?\d[\d.eE+-]*)', r'"phone":"$1"')
+    return F.when(F.contains(item, F.lit('"phone"')), changed).otherwise(item)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:

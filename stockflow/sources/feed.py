@@ -111,8 +111,10 @@ def _extracted(version: Column) -> Column:
 
 def _raw(documents: DataFrame, entity: str, id_paths=("id",)) -> DataFrame:
     """Documents with columns ``item`` and ``version`` as raw rows."""
-    # phones last: a filter on the id would be moved below them, and work them out twice
-    raw = to_envelope(documents, SOURCE, entity, id_paths, _extracted(F.col("version")))
+    # the filter on the id would be moved below what makes the documents, and make each one twice:
+    # it stays above a generator, and phones come last
+    made = documents.select(F.explode(F.array("item")).alias("item"), "version")
+    raw = to_envelope(made, SOURCE, entity, id_paths, _extracted(F.col("version")))
     return raw.withColumn("payload", normalise_phones(_col("payload"), entity))
 
 

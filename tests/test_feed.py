@@ -46,3 +46,20 @@ def test_files_of_a_table_have_bounded_rows(spark, store):
     assert store.replace("numbers", spark.range(0, 250_000, 1, 1)).ok
     files = store.read("numbers").groupBy("_metadata.file_path").count().select("count").collect()
     assert sorted(row[0] for row in files) == [50_000, 100_000, 100_000]
+
+
+def test_a_document_is_made_once(spark):
+    # the filter on the id does not make it a second time
+    for raw in (feed.raw_products, feed.raw_inventory_levels, feed.raw_orders):
+        assert plan(raw(spark, SMALL), "optimizedPlan").count("StructsToJsonEvaluator") == 1
+
+
+def test_tables_are_written_at_a_high_level(spark, store):
+    def written(path):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        return files.agg({"length": "sum"}).first()[0]
+
+    raw = feed.raw_orders(spark, SMALL).coalesce(1)
+    assert store.replace("orders", raw).ok
+    raw.write.option("compression", "zstd").parquet(store.path("plain"))
+    assert written(store.locations("orders")[0]) < 0.95 * written(store.path("plain"))
