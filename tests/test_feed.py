@@ -63,3 +63,19 @@ def test_tables_are_written_at_a_high_level(spark, store):
     assert store.replace("orders", raw).ok
     raw.write.option("compression", "zstd").parquet(store.path("plain"))
     assert written(store.locations("orders")[0]) < 0.95 * written(store.path("plain"))
+
+
+def test_pages_of_orders_are_those_of_the_documents(spark, rows, monkeypatch):
+    for newest in (False, True):
+        documents = feed.delivered(feed.order_documents(spark, SMALL), newest)
+        expected = rows(feed.landed_pages(documents, "orders", 7))
+        assert rows(feed.order_pages(spark, SMALL, newest, 7)) == expected and len(expected) > 10
+    monkeypatch.setattr(feed, "CROWDED", 5)
+    assert rows(feed.order_pages(spark, SMALL, True, 7)) == expected
+
+
+def test_documents_of_landed_orders_cross_no_shuffle(spark):
+    pages = plan(feed.order_pages(spark, SMALL, True, 250), "executedPlan")
+    made = pages.index("StructsToJsonEvaluator") if "StructsToJsonEvaluator" in pages else pages.index("to_json")
+    # the tree is printed from its root on: what stands before the making of documents comes after it
+    assert "Exchange" not in pages[:made]
