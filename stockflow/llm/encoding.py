@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +74,10 @@ class TableEncoder:
     def _piece_ids(self, piece: bytes) -> list[int]:
         raise NotImplementedError
 
+    def _ids_of_pieces(self, pieces: list[bytes]) -> Iterable[list[int]]:
+        """The ids of each of some different pieces."""
+        return map(self._piece_ids, pieces)
+
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where pieces start in the bytes of some texts."""
         raise NotImplementedError
@@ -82,15 +86,14 @@ class TableEncoder:
         """The table's numbers of some different pieces; new ones are added."""
         number, added, lengths, row = self._number, [], [], len(self._ends) - 1
         rows = [number.get(piece, -1) for piece in pieces]
-        for i, found in enumerate(rows):
-            if found < 0:
-                ids = self._piece_ids(pieces[i])
-                added += ids
-                lengths.append(len(ids))
-                rows[i] = row
-                if len(pieces[i]) <= TABLE_LENGTH:
-                    number[pieces[i]] = row
-                row += 1
+        new = [i for i, found in enumerate(rows) if found < 0]
+        for i, ids in zip(new, self._ids_of_pieces([pieces[i] for i in new]), strict=True):
+            added += ids
+            lengths.append(len(ids))
+            rows[i] = row
+            if len(pieces[i]) <= TABLE_LENGTH:
+                number[pieces[i]] = row
+            row += 1
         self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
         self._ids = np.concatenate([self._ids, np.array(added, "<u4")])
         return np.array(rows)

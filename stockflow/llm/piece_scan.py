@@ -70,6 +70,9 @@ class Pieces(TableEncoder):
         # the score of each piece; None for what only begins one
         self._begun: dict[str, int | None] = {p[:n]: None for p in self.ids for n in range(1, len(p))}
         self._begun |= {p: score[i] for p, i in self.ids.items()}
+        # the same for what ends one
+        self._ended: dict[str, int | None] = {p[n:]: None for p in self.ids for n in range(1, len(p))}
+        self._ended |= {p: score[i] for p, i in self.ids.items()}
         self.text = [
             bytes([int(p.piece[1:-1], 16)]) if p.type == byte else p.piece.replace(SPACE, " ").encode()
             for p in proto.pieces
@@ -102,7 +105,7 @@ class Pieces(TableEncoder):
             here = best[at - start]
             if here == NEVER:
                 continue
-            # the loop of ``steps``, written out: it runs for every place of every new word
+            # the loop of ``steps``, written out
             least = beyond if at == start else at
             if begun.get(text[at]) is None and at + 1 > least and here + unknown > best[at - start + 1]:
                 best[at - start + 1], came[at - start + 1] = here + unknown, at
@@ -116,6 +119,10 @@ class Pieces(TableEncoder):
                     best[end - start], came[end - start] = here + score, at
         if best[-1] == NEVER:
             return NEVER, []
+        return best[-1], self._ids_back(text, start, stop, came)
+
+    def _ids_back(self, text: str, start: int, stop: int, came: list[int]) -> list[int]:
+        """The ids of text[start:stop], of which ``came`` says where the piece to each place starts."""
         ids: list[int] = []
         end = stop
         parts = []
@@ -125,13 +132,47 @@ class Pieces(TableEncoder):
         for part in reversed(parts):
             found = self.ids.get(part)
             ids += [found] if found is not None else [self.bytes[b] for b in part.encode()]
-        return best[-1], ids
+        return ids
 
     # -- many texts: a table of words ---------------------------------------------------
 
-    def _piece_ids(self, piece: bytes) -> list[int]:
-        text = piece.decode().replace(" ", SPACE)
-        return self.best_path(text, 0, len(text))[1]
+    def _ids_of_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """The best path of each word, as ``best_path`` finds it. Words are taken in order, and
+        what the one before has in common with a word is not gone through again."""
+        texts = [piece.decode().replace(" ", SPACE) for piece in pieces]
+        found: list[list[int]] = [[]] * len(texts)
+        ending, unknown = self._ended.get, self.unknown
+        before, best, came = "", [0], [0]
+        for i in sorted(range(len(texts)), key=texts.__getitem__):
+            text = texts[i]
+            same, least = 0, min(len(before), len(text))
+            while same < least and before[same] == text[same]:
+                same += 1
+            del best[same + 1 :], came[same + 1 :]
+            for end in range(same + 1, len(text) + 1):
+                first = at = end - 1
+                score = ending(text[at], NEVER)
+                if score is None or score == NEVER:
+                    top = best[at] + unknown
+                else:
+                    top = best[at] + score
+                if score != NEVER:
+                    while at:
+                        at -= 1
+                        score = ending(text[at:end], NEVER)
+                        if score is None:
+                            continue
+                        if score == NEVER:
+                            break
+                        # of equal ones the longest last piece
+                        score += best[at]
+                        if score >= top:
+                            top, first = score, at
+                best.append(top)
+                came.append(first)
+            before = text
+            found[i] = self._ids_back(text, 0, len(text), came)
+        return found
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         space, line = data == 32, data == 10

@@ -112,3 +112,21 @@ def test_the_query_returns_the_ids(spark):
         assert len(ids) == row.n_tokens and zlib.crc32(row.ids) == row.ids_crc32
         plain = (texts[row.doc_id] or "").replace(piece_scan.SPACE, " ")
         assert piece_scan.vocabulary(MODEL).decode(ids)[1:].decode() == plain
+
+
+def test_words_with_a_common_beginning_share_its_path():
+    class Counted(dict):
+        looks = 0
+
+        def get(self, *key):
+            self.looks += 1
+            return super().get(*key)
+
+    pieces = piece_scan.Pieces(MODEL)
+    words = [f" understand{end}".encode() for end in ("", "a", "able", "ing", "ings", "é", "▁x", "\n")] + [b" stand", b"x"]
+    texts = [word.decode().replace(" ", piece_scan.SPACE) for word in words]
+    pieces._ended = Counted(pieces._ended)
+    alone = [pieces._ids_of_pieces([word])[0] for word in words]
+    looks, pieces._ended.looks = pieces._ended.looks, 0
+    assert pieces._ids_of_pieces(words) == alone == [pieces.best_path(text, 0, len(text))[1] for text in texts]
+    assert 3 * pieces._ended.looks < looks
