@@ -7,8 +7,8 @@ first h characters into one by h + 1. No suffix is compared with one of another
 Where a step draws new borders, suffixes on both sides share h characters and no more: the
 borders after h steps are the common-prefix intervals of length h.
 
-Only intervals with two or more suffixes are carried on: a suffix alone in its interval
-stays alone when it grows. So a merge costs a step per character for what is shared, and
+Only suffixes that end a window are refined, and only intervals with two or more of them are
+carried on: a suffix alone in its interval stays alone when it grows. So a merge costs a step per character for what is shared, and
 little for what is not.
 """
 
@@ -69,8 +69,10 @@ def repeated_windows(strings: list[bytes], owners: np.ndarray, window: int) -> t
     transform = np.where(place > 0, symbols[before], 0).astype(np.uint8)  # the symbol before each suffix
     step = rank[before]  # the suffix that is longer by that symbol
 
-    suffix = np.arange(n, dtype=np.int32)
-    block = np.zeros(n, np.int32)
+    # a suffix with less than a window before it ends none: it would leave at its string's start
+    ends_one = np.arange(n) - np.repeat(starts[:-1], lengths + 1) >= window
+    suffix = np.flatnonzero(ends_one[place]).astype(np.int32)
+    block = np.zeros(len(suffix), np.int32)
     for _ in range(window):
         symbol = transform[suffix]
         grows = symbol != 0

@@ -95,12 +95,15 @@ def runs_of(data: np.ndarray, edges: np.ndarray, wanted: np.ndarray) -> Runs | N
         least = np.minimum(least[:-step], least[step:])
         width += step
     offsets = np.concatenate([[0], np.cumsum(windows)])
-    text = np.repeat(np.arange(len(size)), windows)
     start = np.arange(offsets[-1]) + np.repeat(edges[:-1] - offsets[:-1], windows)
-    chosen = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    begins = np.flatnonzero((np.diff(chosen, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+    chosen = least[start]
+    opens = np.zeros(len(start), bool)
+    np.not_equal(chosen[1:], chosen[:-1], out=opens[1:])
+    opens[offsets[:-1][windows > 0]] = True
+    begins = np.flatnonzero(opens)
     first, last = start[begins], start[np.append(begins[1:], len(start)) - 1]
-    anchor, text = hashes[chosen[begins]], text[begins]
+    anchor = hashes[(chosen[begins] & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+    text = np.searchsorted(offsets, begins, "right") - 1
     opens = (np.diff(text, prepend=-1) != 0) | ((anchor >> np.uint64(8)) % np.uint64(CHUNK_RUNS) == 0)
     chunk = np.cumsum(opens) - 1
     heads = np.flatnonzero(opens)
@@ -279,7 +282,10 @@ class Settled:
             ):
                 if kind == _FACTS:
                     facts[sender] = (anchors, chunks)
-        anchor, _, _ = batch.anchors()
+        some = [runs.anchor for *_, runs in batch.slices if runs is not None]
+        # those of ``Batch.anchors``, which were sent in this order
+        anchor = np.sort(np.concatenate(some)) if some else np.zeros(0, np.uint64)
+        anchor = anchor[np.diff(anchor, prepend=~anchor[:1]) != 0]
         order, edges = _groups(anchor, n_groups)
         flags = np.zeros(len(anchor), np.uint8)
         self.smallest = batch.chunks()
@@ -310,17 +316,19 @@ class Settled:
         for no, (at, data, _, runs) in enumerate(self.batch.slices):
             if runs is None:
                 continue
-            open_ = ~self.removed_chunks(at, runs)[runs.chunk]
-            flag = self._flags[np.searchsorted(self._anchor, runs.anchor)]
+            open_ = np.flatnonzero(~self.removed_chunks(at, runs)[runs.chunk])
+            flag = self._flags[np.searchsorted(self._anchor, runs.anchor[open_])]
+            open_, flag = open_[flag > 0], flag[flag > 0]
             raw = data.tobytes()
-            for i in np.flatnonzero(open_ & (flag > 0)).tolist():
-                first, last, doc_id = int(runs.first[i]), int(runs.last[i]), self.batch.doc_ids[at + int(runs.text[i])]
-                spans = [(first, last)] if flag[i] == 1 else [(w, w) for w in range(first, last + 1)]
+            columns = (flag, runs.first[open_], runs.last[open_], runs.text[open_], runs.anchor[open_])
+            for kind, first, last, place, anchor in zip(*[column.tolist() for column in columns], strict=True):
+                doc_id = self.batch.doc_ids[at + place]
+                spans = [(first, last)] if kind == 1 else [(w, w) for w in range(first, last + 1)]
                 for a, b in spans:
                     text = raw[a : b + WINDOW]
                     known = found.get(text)
                     if known is None:
-                        route = int(runs.anchor[i]) if flag[i] == 1 else xxhash.xxh3_64_intdigest(text)
+                        route = anchor if kind == 1 else xxhash.xxh3_64_intdigest(text)
                         # texts come in order of doc_id: the first is the smallest
                         known = found[text] = Question(text, doc_id, route, [])
                     known.places.append((no, a, doc_id))
@@ -403,19 +411,20 @@ def _finish(n_groups: int, report):
                 np.add.at(marks[no], runs.last[gone] + WINDOW, -1)
         for g, own in _by_group(settled.questions(), n_groups):
             sizes = [len(q.text) - WINDOW + 1 for q in own]
-            bits = np.unpackbits(np.frombuffer(answers[g], np.uint8), count=sum(sizes)).astype(bool)
-            done = 0
-            for question, size in zip(own, sizes, strict=True):
-                repeated = np.flatnonzero(bits[done : done + size])
-                done += size
+            ends = np.cumsum(sizes)
+            hits = np.flatnonzero(np.unpackbits(np.frombuffer(answers[g], np.uint8), count=int(ends[-1])))
+            upto = np.searchsorted(hits, ends).tolist()
+            for question, size, end, a, b in zip(own, sizes, ends.tolist(), [0, *upto], upto, strict=False):
+                repeated = hits[a:b] - (end - size) if a < b else ()
                 for no, start, doc_id in question.places:
                     if doc_id > question.owner:
                         # the smaller document here holds the whole string
                         marks[no][start] += 1
                         marks[no][start + size - 1 + WINDOW] -= 1
                     elif len(repeated):
-                        np.add.at(marks[no], start + repeated, 1)
-                        np.add.at(marks[no], start + repeated + WINDOW, -1)
+                        # each place once
+                        marks[no][start + repeated] += 1
+                        marks[no][start + repeated + WINDOW] -= 1
         found = []
         for (at, data, edges, _), mark in zip(batch.slices, marks, strict=True):
             gone = np.cumsum(mark[:-1]) > 0

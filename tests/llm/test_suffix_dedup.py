@@ -124,3 +124,18 @@ def test_merged_transforms_find_the_smallest_owner(monkeypatch, shard_bytes):
         for string, start in zip(strings, starts.tolist(), strict=False):
             for i in range(len(string) - window + 1):
                 assert smallest[start + i] == best[string[i : i + window]]
+
+
+def test_only_what_ends_a_window_is_refined(monkeypatch):
+    rng = random.Random(5)
+    shared = rng.randbytes(64).replace(b"\xff", b"a")
+    strings = list(dict.fromkeys(shared[i % 10 :] + bytes([97 + i % 20]) for i in range(200)))
+    carried, sort = [], np.argsort
+    monkeypatch.setattr(bwt.np, "argsort", lambda a, **how: (a.dtype == np.uint8 and carried.append(len(a))) or sort(a, **how))
+    owners = np.arange(len(strings))
+    smallest, starts = bwt.repeated_windows(strings, owners, 50)
+    for one, (text, start) in enumerate(zip(strings, starts.tolist(), strict=False)):
+        for at in range(len(text) - 49):
+            assert smallest[start + at] == min(i for i, other in enumerate(strings) if text[at : at + 50] in other)
+    # a place for each window, not for each byte
+    assert max(carried) <= sum(len(text) - 49 for text in strings)
