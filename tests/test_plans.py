@@ -91,3 +91,10 @@ def test_payloads_of_orders_cross_no_shuffle(plan_of):
 def test_order_lines_cross_the_shuffle_without_their_texts(plan_of):
     below = plan_of("order_lines").partition("Exchange hashpartitioning(order_line_id")[2]
     assert below and " AS sku" not in below and " AS vendor" not in below
+
+
+def test_levels_are_shuffled_once_for_all_demand(plan_of):
+    plan = plan_of("variant_location_demand")
+    # the rows of a shuffle are those of the scan below it, if nothing was joined to them before
+    wide = [text for text in re.split(r"Exchange hashpartitioning", plan)[1:] if "inventory_item_id" in text.split("FileScan")[0]]
+    assert len(wide) <= 1
