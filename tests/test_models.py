@@ -200,3 +200,49 @@ def test_location_kinds(spark):
         (3, "Fitzroy", "inactive"),
         (4, None, "store"),
     ]
+
+
+def test_demand_of_levels_without_a_variant_or_a_product(spark):
+    levels = spark.createDataFrame(
+        [
+            (1, "Fitzroy", 7, 70, 4),
+            (0, CFG.warehouse, 7, 70, 5),
+            (1, "Fitzroy", 8, 70, 6),  # the same variant under another product
+            (1, "Fitzroy", 7, None, 2),
+            (0, CFG.warehouse, 7, None, 9),
+            (1, "Fitzroy", None, 70, 1),
+            (2, "Nowhere", 9, 90, 3),
+        ],
+        "location_id long, location_name string, product_id long, variant_id long, available_quantity long",
+    ).selectExpr(
+        "*",
+        *[f"1L AS {name}" for name in ("inventory_item_id", "inventory_level_key", "inventory_level_updated_at", "modelled_at")],
+        *[f"'x' AS {name}" for name in ("product_title", "variant_title", "sku", "vendor", "product_type", "product_status", "city")],
+    )
+    sold = spark.createDataFrame(
+        [(70, "fitz", 2), (70, "fitz", 1), (70, "popup", 50), (None, "fitz", 8), (90, None, 5)],
+        "variant_id long, sales_location_name string, quantity long",
+    ).selectExpr("*", "timestamp'2026-06-30 00:00:00' AS order_created_at")
+    style = spark.createDataFrame(
+        [(7, "Fitzroy", 11, 12, 1.5), (8, "Fitzroy", 21, 22, 2.5), (None, "Fitzroy", 31, 32, 3.5)],
+        "product_id long, location_name string, style_units_4_weeks long, style_units_12_weeks long, demand_score double",
+    )
+    names = spark.createDataFrame(
+        [(1, "fitz"), (0, None), (2, None)], "location_id long, sales_location_name string"
+    )
+    found = stock.variant_location_demand(
+        {"fact_inventory_snapshot": levels, "fact_sales": sold, "style_location_demand": style, "dim_locations": names}, CFG
+    )
+    columns = ("location_id", "product_id", "variant_id", "units_sold_4_weeks", "style_units_sold_4_weeks", "warehouse_available_quantity")
+    assert by(found, *columns) == sorted(
+        [
+            (1, 7, 70, 3, 11, 5),
+            (0, 7, 70, 0, 0, 5),
+            (1, 8, 70, 3, 21, 5),
+            (1, 7, None, 0, 11, 0),
+            (0, 7, None, 0, 0, 0),
+            (1, None, 70, 3, 0, 5),
+            (2, 9, 90, 0, 0, 0),
+        ],
+        key=repr,
+    )
