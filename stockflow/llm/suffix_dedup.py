@@ -47,6 +47,8 @@ WINDOW = 50
 ANCHOR = 20
 CHUNK_RUNS = 16  # runs per chunk, on average
 BATCH_BYTES = 12 << 20
+# arrays over the bytes of so much text stay in a core's cache
+SLICE_BYTES = 256 << 10
 GROUPS_PER_BATCH = 4
 # an anchor in so many chunks sends windows instead of runs
 BUSY_CHUNKS = 2000
@@ -134,7 +136,7 @@ class Batch:
         column, slices, at = table.column("text").combine_chunks(), [], 0
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
-        for data, edges in text_slices(column):
+        for data, edges in text_slices(column, SLICE_BYTES):
             wanted = np.array([doc_ids[at + i] is not None for i in range(len(edges) - 1)], bool)
             slices.append((at, data, edges, runs_of(data, edges, wanted)))
             at += len(edges) - 1
@@ -261,13 +263,18 @@ def _tell(table: pa.Table) -> pa.Table:
 
 
 @dataclass
-class Question:
-    """A string whose windows a batch cannot settle alone, and where it stands."""
+class Questions:
+    """Different strings whose windows a batch cannot settle alone, in a fixed order, and the
+    places where they stand, slice by slice."""
 
-    text: bytes
-    owner: int
-    route: int  # equal windows must meet: by their anchor, or by their own bytes
-    places: list[tuple[int, int, int]]  # slice, start, doc_id
+    texts: list[bytes]
+    sizes: np.ndarray  # windows of each string
+    owners: np.ndarray  # the smallest doc_id that holds it here
+    routes: np.ndarray  # equal windows must meet: by their anchor, or by their own bytes
+    which: np.ndarray  # the string at each place
+    start: np.ndarray
+    doc_id: np.ndarray
+    edges: np.ndarray  # the first place of each slice
 
 
 class Settled:
@@ -284,8 +291,7 @@ class Settled:
                     facts[sender] = (anchors, chunks)
         some = [runs.anchor for *_, runs in batch.slices if runs is not None]
         # those of ``Batch.anchors``, which were sent in this order
-        anchor = np.sort(np.concatenate(some)) if some else np.zeros(0, np.uint64)
-        anchor = anchor[np.diff(anchor, prepend=~anchor[:1]) != 0]
+        anchor, which = np.unique(np.concatenate(some), return_inverse=True) if some else (np.zeros(0, np.uint64), None)
         order, edges = _groups(anchor, n_groups)
         flags = np.zeros(len(anchor), np.uint8)
         self.smallest = batch.chunks()
@@ -297,7 +303,10 @@ class Settled:
             own = chunk_order[chunk_edges[g] : chunk_edges[g + 1]]
             held[own] = np.unpackbits(np.frombuffer(chunks, np.uint8), count=len(own)).astype(bool)
         self._elsewhere = dict(zip(keys, held.tolist(), strict=True))
-        self._anchor, self._flags = anchor, flags
+        # what was told of each run's anchor, slice by slice
+        edges = np.cumsum([len(one) for one in some])[:-1]
+        told_of = iter(np.split(flags[which], edges) if some else ())
+        self._flags = [None if runs is None else next(told_of) for *_, runs in batch.slices]
 
     def removed_chunks(self, at: int, runs: Runs) -> np.ndarray:
         """Which chunks of a slice a smaller document holds."""
@@ -310,36 +319,53 @@ class Settled:
             bool,
         )
 
-    def questions(self) -> list[Question]:
+    def questions(self) -> Questions:
         """The open strings, each different one once, in a fixed order."""
-        found: dict[bytes, Question] = {}
-        for no, (at, data, _, runs) in enumerate(self.batch.slices):
-            if runs is None:
-                continue
-            open_ = np.flatnonzero(~self.removed_chunks(at, runs)[runs.chunk])
-            flag = self._flags[np.searchsorted(self._anchor, runs.anchor[open_])]
-            open_, flag = open_[flag > 0], flag[flag > 0]
-            raw = data.tobytes()
-            columns = (flag, runs.first[open_], runs.last[open_], runs.text[open_], runs.anchor[open_])
-            for kind, first, last, place, anchor in zip(*[column.tolist() for column in columns], strict=True):
-                doc_id = self.batch.doc_ids[at + place]
-                spans = [(first, last)] if kind == 1 else [(w, w) for w in range(first, last + 1)]
-                for a, b in spans:
-                    text = raw[a : b + WINDOW]
-                    known = found.get(text)
-                    if known is None:
-                        route = anchor if kind == 1 else xxhash.xxh3_64_intdigest(text)
-                        # texts come in order of doc_id: the first is the smallest
-                        known = found[text] = Question(text, doc_id, route, [])
-                    known.places.append((no, a, doc_id))
-        return list(found.values())
-
-
-def _by_group(questions: list[Question], n_groups: int) -> Iterator[tuple[int, list[Question]]]:
-    order, edges = _groups(np.array([q.route for q in questions], np.uint64) ^ np.uint64(0x5851F42D4C957F2D), n_groups)
-    for g in range(n_groups):
-        if edges[g] < edges[g + 1]:
-            yield g, [questions[i] for i in order[edges[g] : edges[g + 1]].tolist()]
+        number: dict[bytes, int] = {}
+        which: list[int] = []
+        columns = {name: [] for name in ("kind", "start", "doc_id", "anchor")}
+        edges = [0]
+        known = np.array([0 if doc_id is None else doc_id for doc_id in self.batch.doc_ids], np.int64)
+        for (at, data, _, runs), flag in zip(self.batch.slices, self._flags, strict=True):
+            if runs is not None:
+                open_ = np.flatnonzero(~self.removed_chunks(at, runs)[runs.chunk] & (flag > 0))
+                kind, first, last = flag[open_], runs.first[open_], runs.last[open_]
+                # a whole run, or each of its windows
+                spans = np.where(kind == 1, 1, last - first + 1)
+                run = np.repeat(np.arange(len(open_)), spans)
+                start = first[run] + np.arange(len(run)) - np.repeat(np.cumsum(spans) - spans, spans)
+                end = np.where(kind[run] == 1, last[run], start) + WINDOW
+                raw = data.tobytes()
+                which += [number.setdefault(raw[a:b], len(number)) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+                columns["kind"].append(kind[run])
+                columns["start"].append(start)
+                columns["doc_id"].append(known[at + runs.text[open_]][run])
+                columns["anchor"].append(runs.anchor[open_][run])
+            edges.append(len(which))
+        kinds = {"kind": np.uint8, "start": np.int64, "doc_id": np.int64, "anchor": np.uint64}
+        found = {name: np.concatenate([np.zeros(0, kinds[name]), *parts]) for name, parts in columns.items()}
+        places, texts = np.array(which, np.int64), list(number)
+        # numbers rise, and texts come in order of doc_id: the first place has the smallest
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(places), prepend=-1))
+        routes = found["anchor"][first]
+        for i in np.flatnonzero(found["kind"][first] != 1).tolist():
+            routes[i] = xxhash.xxh3_64_intdigest(texts[i])
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) - WINDOW + 1
+        return Questions(
+            texts, sizes, found["doc_id"][first], routes, places, found["start"], found["doc_id"], np.array(edges)
+        )
+
+
+def _by_group(questions: Questions, n_groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The numbers of the strings of each group that has some."""
+    order, edges = _groups(questions.routes ^ np.uint64(0x5851F42D4C957F2D), n_groups)
+    for g in np.flatnonzero(np.diff(edges)).tolist():
+        yield g, order[edges[g] : edges[g + 1]]
+
+
+def _spread_out(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, ``size`` of them, one after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 _OPEN_DDL = "target long, batch long, sizes binary, texts binary, owners binary"
@@ -353,11 +379,11 @@ def _open(n_groups: int):
         if not texts.num_rows:
             return _table([], _OPEN)
         number = texts.column("batch")[0].as_py()
-        settled, rows = Settled(Batch.of(texts), told, n_groups), []
-        for g, own in _by_group(settled.questions(), n_groups):
-            sizes = np.array([len(q.text) for q in own], np.uint8)
-            owners = np.array([q.owner for q in own], "<i8")
-            rows.append((g, number, sizes.tobytes(), b"".join([q.text for q in own]), owners.tobytes()))
+        questions, rows = Settled(Batch.of(texts), told, n_groups).questions(), []
+        for g, own in _by_group(questions, n_groups):
+            sizes = (questions.sizes[own] + WINDOW - 1).astype(np.uint8)
+            owners = questions.owners[own].astype("<i8")
+            rows.append((g, number, sizes.tobytes(), b"".join([questions.texts[i] for i in own.tolist()]), owners.tobytes()))
         return _table(rows, _OPEN)
 
     return run
@@ -366,28 +392,24 @@ def _open(n_groups: int):
 def _settle(table: pa.Table) -> pa.Table:
     """A group finds the smallest document of every window of its strings."""
     group = table.column("target")[0].as_py()
-    asked, number = [], {}
-    owners: list[int] = []
-    for batch, sizes, texts, ids in zip(
-        *[table.column(n).to_pylist() for n in ("batch", "sizes", "texts", "owners")], strict=True
-    ):
+    number: dict[bytes, int] = {}
+    which: list[int] = []
+    columns = [table.column(n).to_pylist() for n in ("batch", "sizes", "texts", "owners")]
+    for sizes, texts in zip(*columns[1:3], strict=True):
         ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()
-        own = []
-        for a, b, owner in zip([0, *ends], ends, np.frombuffer(ids, "<i8").tolist(), strict=False):
-            text = texts[a:b]
-            which = number.setdefault(text, len(number))
-            if which == len(owners):
-                owners.append(owner)
-            elif owner < owners[which]:
-                owners[which] = owner
-            own.append((which, owner))
-        asked.append((batch, own))
-    strings = list(number)
-    smallest, starts = repeated_windows(strings, np.array(owners, np.int64), WINDOW)
-    rows = []
-    for batch, own in asked:
-        bits = [smallest[starts[i] : starts[i] + len(strings[i]) - WINDOW + 1] < owner for i, owner in own]
-        rows.append((batch, group, _WINDOWS, np.packbits(np.concatenate(bits)).tobytes(), None))
+        which += [number.setdefault(texts[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)]
+    strings, asked = list(number), np.array(which, np.int64)
+    owners = np.frombuffer(b"".join(columns[3]), "<i8")
+    smallest_here = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(smallest_here, asked, owners)
+    smallest, starts = repeated_windows(strings, smallest_here, WINDOW)
+    rows, at = [], 0
+    for batch, sizes in zip(*columns[:2], strict=True):
+        windows = np.frombuffer(sizes, np.uint8).astype(np.int64) - WINDOW + 1
+        own = slice(at, at + len(windows))
+        bits = smallest[_spread_out(starts[asked[own]], windows)] < np.repeat(owners[own], windows)
+        rows.append((batch, group, _WINDOWS, np.packbits(bits).tobytes(), None))
+        at += len(windows)
     return _table(rows, _TELL)
 
 
@@ -409,22 +431,31 @@ def _finish(n_groups: int, report):
                 gone = settled.removed_chunks(at, runs)[runs.chunk]
                 np.add.at(marks[no], runs.first[gone], 1)
                 np.add.at(marks[no], runs.last[gone] + WINDOW, -1)
-        for g, own in _by_group(settled.questions(), n_groups):
-            sizes = [len(q.text) - WINDOW + 1 for q in own]
-            ends = np.cumsum(sizes)
-            hits = np.flatnonzero(np.unpackbits(np.frombuffer(answers[g], np.uint8), count=int(ends[-1])))
-            upto = np.searchsorted(hits, ends).tolist()
-            for question, size, end, a, b in zip(own, sizes, ends.tolist(), [0, *upto], upto, strict=False):
-                repeated = hits[a:b] - (end - size) if a < b else ()
-                for no, start, doc_id in question.places:
-                    if doc_id > question.owner:
-                        # the smaller document here holds the whole string
-                        marks[no][start] += 1
-                        marks[no][start + size - 1 + WINDOW] -= 1
-                    elif len(repeated):
-                        # each place once
-                        marks[no][start + repeated] += 1
-                        marks[no][start + repeated + WINDOW] -= 1
+        questions = settled.questions()
+        # the repeated windows of each string: how many, where they begin among all, their offsets
+        told_bits, asked = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+        for g, own in _by_group(questions, n_groups):
+            size = int(questions.sizes[own].sum())
+            told_bits.append(np.unpackbits(np.frombuffer(answers[g], np.uint8), count=size))
+            asked.append(own)
+        order = np.concatenate(asked)
+        hits = np.flatnonzero(np.concatenate(told_bits))
+        ends = np.cumsum(questions.sizes[order])
+        upto = np.searchsorted(hits, ends)
+        repeats, begins = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        repeats[order] = np.diff(upto, prepend=0)
+        begins[order] = upto - repeats[order]
+        offsets = (hits - np.repeat(ends - questions.sizes[order], repeats[order])).astype(np.uint8)
+        for mark, a, b in zip(marks, questions.edges[:-1].tolist(), questions.edges[1:].tolist(), strict=True):
+            which, start = questions.which[a:b], questions.start[a:b]
+            # the smaller document here holds the whole string
+            whole = questions.doc_id[a:b] > questions.owners[which]
+            np.add.at(mark, start[whole], 1)
+            np.add.at(mark, start[whole] + questions.sizes[which[whole]] - 1 + WINDOW, -1)
+            which, start = which[~whole], start[~whole]
+            repeated = np.repeat(start, repeats[which]) + offsets[_spread_out(begins[which], repeats[which])]
+            np.add.at(mark, repeated, 1)
+            np.add.at(mark, repeated + WINDOW, -1)
         found = []
         for (at, data, edges, _), mark in zip(batch.slices, marks, strict=True):
             gone = np.cumsum(mark[:-1]) > 0

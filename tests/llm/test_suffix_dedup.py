@@ -139,3 +139,38 @@ def test_only_what_ends_a_window_is_refined(monkeypatch):
             assert smallest[start + at] == min(i for i, other in enumerate(strings) if text[at : at + 50] in other)
     # a place for each window, not for each byte
     assert max(carried) <= sum(len(text) - 49 for text in strings)
+
+
+def test_open_strings_are_worked_on_in_columns(monkeypatch):
+    """A batch keeps its open strings and their places as arrays: some of them are repeated
+    in it, some elsewhere, and work is done by slice, not by string."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 3000)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    texts = ["".join(rng.choices(letters, k=700)) for _ in range(20)]
+    shared = "".join(rng.choices(letters, k=90))
+    texts = [text[:300] + shared + text[300:] if i % 3 == 0 else text for i, text in enumerate(texts)]
+    ids = list(range(20))
+    table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": texts, "batch": pa.array([0] * 20, pa.int64())})
+    asked = suffix_dedup._ask(1)(table)
+    told = suffix_dedup._tell(asked)
+    settled = suffix_dedup.Settled(suffix_dedup.Batch.of(table), told, 1)
+    open_ = settled.questions()
+    assert len(open_.edges) == len(settled.batch.slices) + 1 > 3
+    assert open_.edges[-1] == len(open_.which) == len(open_.start) == len(open_.doc_id)
+    assert len(set(open_.texts)) == len(open_.texts) == len(open_.sizes) == len(open_.owners)
+    for no, (_, data, _, _) in enumerate(settled.batch.slices):
+        for place in range(open_.edges[no], open_.edges[no + 1]):
+            which, start = open_.which[place], open_.start[place]
+            text = open_.texts[which]
+            assert data[start : start + len(text)].tobytes() == text
+            assert len(text) == open_.sizes[which] + suffix_dedup.WINDOW - 1
+    for which in range(len(open_.texts)):
+        assert open_.owners[which] == open_.doc_id[open_.which == which].min()
+    opened = suffix_dedup._open(1)(table, told)
+    answers = pa.concat_tables([told, suffix_dedup._settle(opened)])
+    found = suffix_dedup._finish(1, suffix_dedup.Digests())(table, answers).to_pylist()
+    rows = list(zip(ids, texts, strict=True))
+    assert in_order(tuple(row.values()) for row in found) == in_order(map(digest, rows, removed(rows)))
