@@ -1,7 +1,7 @@
 """Reusable DataFrame operators."""
 
 from stockflow.operators.arrays import explode_json_array
-from stockflow.operators.latest import latest_by, latest_of_wide
+from stockflow.operators.latest import latest_by, latest_of_elements, latest_of_wide
 from stockflow.operators.pairs import lane_group, pair_within
 from stockflow.operators.pivot import pivot_fixed
 from stockflow.operators.quality import check_not_null, check_unique
@@ -17,6 +17,7 @@ __all__ = [
     "global_rank",
     "lane_group",
     "latest_by",
+    "latest_of_elements",
     "latest_of_wide",
     "pair_within",
     "pivot_fixed",

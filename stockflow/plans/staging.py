@@ -7,7 +7,7 @@ unnested from them: the raw table is ranked and shuffled once per entity, not tw
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from stockflow.functions import (
     safe_ts,
     trim_blanks,
 )
-from stockflow.operators import explode_json_array, latest_by, latest_of_wide
+from stockflow.operators import explode_json_array, latest_by, latest_of_elements, latest_of_wide
 
 Tables = Mapping[str, DataFrame]
 ENVELOPE = ["source", "entity", "extracted_at", "payload"]
@@ -205,7 +205,7 @@ def orders(t: Tables, cfg: RetailConfig) -> DataFrame:
 _LINE_ORDER = ("order_line_id", "line_product_id", "variant_id", "quantity", "unit_price", "total_discount")
 
 
-def _typed_line(df: DataFrame, names: Iterable[str], keep: list[str]) -> DataFrame:
+def _typed_line(df: DataFrame, names: Collection[str], keep: list[str]) -> DataFrame:
     """Columns of the order line in the payload, after the columns to keep."""
     parsed = parse_payload(df, "payload", {name: schemas.ORDER_LINE[name] for name in names}, keep)
     casts = {
@@ -215,30 +215,32 @@ def _typed_line(df: DataFrame, names: Iterable[str], keep: list[str]) -> DataFra
         "unit_price": safe_money,
         "total_discount": safe_money,
     }
-    return _typed(parsed, **casts)
+    return _typed(parsed, **{name: cast for name, cast in casts.items() if name in names})
 
 
 def order_lines(t: Tables, cfg: RetailConfig) -> DataFrame:
     order_columns = ["order_id", "order_name", "order_created_at", "order_updated_at"]
     of_order = [name for name in ENVELOPE if name != "payload"]
-    unnested = t["orders"].select(*order_columns, *of_order, F.explode("line_items").alias("payload"))
-    # lines cross the shuffle with what orders them alone; texts are read from the latest ones
-    keyed = _typed_line(unnested, _LINE_ORDER, [*order_columns, *ENVELOPE]).withColumn(
-        "line_product_id", safe_long(F.col("line_product_id"))
-    )
-    latest = latest_by(
-        keyed,
+    # lines cross the shuffle with their id and what orders them alone, not with their texts
+    newest = [F.col("order_updated_at").desc(), *_newest(), F.col("order_id").asc()]
+
+    def identify(lines: DataFrame) -> DataFrame:
+        return _typed_line(lines, ("order_line_id",), lines.columns)
+
+    def describe(lines: DataFrame) -> DataFrame:
+        return _typed_line(lines, _LINE_ORDER, [*order_columns, *ENVELOPE]).withColumn(
+            "line_product_id", safe_long(F.col("line_product_id"))
+        )
+
+    latest = latest_of_elements(
+        t["orders"].select(*order_columns, *of_order, "line_items"),
+        "line_items",
+        "payload",
+        identify,
+        describe,
         ["order_line_id"],
-        [F.col("order_updated_at").desc(), *_newest()],
-        [
-            F.col("order_id").asc(),
-            F.col("line_product_id").asc(),
-            F.col("variant_id").asc(),
-            F.col("quantity").asc(),
-            F.col("unit_price").asc(),
-            F.col("total_discount").asc(),
-            F.col("payload").asc(),
-        ],
+        newest,
+        [F.col(name).asc() for name in (*_LINE_ORDER[1:], "payload")],
     )
     product, sku = F.col("line_product_id"), F.col("sku")
     described = _typed_line(latest, schemas.ORDER_LINE, [*order_columns, *ENVELOPE]).withColumns(

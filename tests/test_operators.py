@@ -10,6 +10,7 @@ from stockflow.operators import (
     explode_json_array,
     global_rank,
     latest_by,
+    latest_of_elements,
     latest_of_wide,
     pivot_fixed,
     unique_winner,
@@ -116,3 +117,46 @@ def test_latest_of_wide_equals_latest_by_of_a_stored_table(spark, store, rows):
     assert rows(latest_of_wide(versions, ["k"], F.col("t"), payload)) == rows(
         latest_by(versions, ["k"], [F.col("t").desc()], payload)
     )
+
+
+def _elements(spark, store, lengths="CASE WHEN id % 400 = 7 THEN 5000 WHEN id % 40 = 3 THEN 70 ELSE id % 6 END"):
+    """Rows with arrays, some of them long: elements of several rows, and of one, share a key; some have none."""
+    rows = spark.range(0, 1500, 1, 3).selectExpr(
+        "id % 701 AS owner",
+        "timestamp_seconds(id * 17 % 5) AS t",
+        f"transform(sequence(0, {lengths}), n -> concat(if(n % 11 = 5, '', cast(id * 13 % 997 AS string)), ':', n % 9, ':', id * n % 23)) AS items",
+    )
+    assert store.replace("elements", rows.withColumn("items", F.when(F.col("owner") % 50 != 0, F.col("items")))).ok
+    stored = store.read("elements")
+    assert stored.select("_metadata.file_path").distinct().count() > 1
+    return stored
+
+
+def _latest_element(rows):
+    def described(df):
+        return df.withColumn("k", F.nullif(F.split("item", ":")[0], F.lit(""))).withColumn("last", F.split("item", ":")[2])
+
+    order, tiebreak = [F.col("t").desc(), F.col("owner").asc()], [F.col("last").desc(), F.col("item").asc()]
+    elements = rows.select("owner", "t", F.explode("items").alias("item"))
+    expected = latest_by(described(elements), ["k"], order, tiebreak).select("owner", "t", "item")
+    return latest_of_elements(rows, "items", "item", described, described, ["k"], order, tiebreak), expected
+
+
+def test_latest_of_elements_equals_latest_by_of_all_elements(spark, store, rows):
+    found, expected = _latest_element(_elements(spark, store))
+    assert rows(found) == rows(expected) and found.count() > 700
+    # elements that all have a key of their own, and rows that are in no files
+    single = _elements(spark, store, "0")
+    for some in (single, spark.createDataFrame(single.limit(50).collect(), single.schema)):
+        found, expected = _latest_element(some)
+        assert rows(found) == rows(expected)
+
+
+def test_elements_are_found_by_their_places(spark, store):
+    found, expected = _latest_element(_elements(spark, store))
+    plan, plain = (df._jdf.queryExecution().optimizedPlan().toString() for df in (found, expected))
+    # ranks are over places; whole elements are numbered once, and only those that tie
+    assert "bitmap_construct_agg" in plan and plan.count("Window [row_number()") == plain.count("Window [row_number()") == 1
+    ranked = [line for line in plan.splitlines() if "Window [rank(" in line]
+    narrow = [plan.splitlines()[plan.splitlines().index(line) + 1] for line in ranked]
+    assert ranked and not any("item#" in line for line in narrow)
