@@ -8,7 +8,7 @@ from stockflow.functions.dates import instant
 from stockflow.plans.ingest import IngestJob, ingest, levels_of_known_items, pages_to_raw, record_run
 from stockflow.schemas import PAGE
 from stockflow.sources import CursorTable, LoadResult, TableStore, cap_pages, page_items, read_page_files, read_pages
-from stockflow.sources.envelope import normalise_phones
+from stockflow.sources.envelope import normalise_phones, updated_since
 from stockflow.sources.files import folders_in
 from stockflow.streaming import stream_pages_to_raw
 from stockflow.streaming.pages import append_batch
@@ -293,3 +293,15 @@ def test_a_repeated_micro_batch_is_loaded_once(spark, store):
 
 def test_store_is_a_plain_value(spark):
     assert TableStore(spark, "/x").path("t") == "/x/t"
+
+
+def test_the_time_of_change_is_read_once(spark, rows):
+    """A filter reads its text as often as the plan names it."""
+    items = spark.createDataFrame(
+        [(1, '{"updated_at":"2026-01-01T00:00:00Z"}'), (2, '{"updated_at":"2026-03-01T00:00:00Z"}'), (3, "{}"), (4, '{"updated_at":"x"}')],
+        "page_no int, item string",
+    )
+    changed = updated_since(items, datetime(2026, 2, 1))
+    assert [no for no, _ in rows(changed)] == [2, 3, 4]
+    condition = changed._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert condition.count("$.updated_at") == 1
